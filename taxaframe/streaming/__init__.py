@@ -1,0 +1 @@
+"""taxaframe.streaming"""
