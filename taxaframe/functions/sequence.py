@@ -19,17 +19,15 @@ def revcomp(c) -> Column:
 def phred_scores(qual) -> Column:
     """Quality string -> array<int> of Phred scores."""
     q = as_col(qual)
-    return F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(q), F.lit(1))),
-        lambda i: F.ascii(F.substr(q, i, F.lit(1))) - PHRED_OFFSET,
-    )
+    idx = F.when(F.length(q) > 0, F.sequence(F.lit(1), F.length(q))).otherwise(F.array().cast("array<int>"))
+    return F.transform(idx, lambda i: F.ascii(F.substr(q, i, F.lit(1))) - PHRED_OFFSET)
 
 
 def count_below(qual, threshold: int) -> Column:
     """Number of bases whose Phred score is < threshold (character-class count, no array)."""
     # characters with score < t are chr(33) .. chr(33 + t - 1)
-    lo, hi = chr(PHRED_OFFSET), chr(PHRED_OFFSET + threshold - 1)
-    return F.length(as_col(qual)) - F.length(F.regexp_replace(as_col(qual), f"[\\{lo}-\\{hi}]", ""))
+    lo, hi = PHRED_OFFSET, PHRED_OFFSET + threshold - 1
+    return F.length(as_col(qual)) - F.length(F.regexp_replace(as_col(qual), f"[\\x{lo:02x}-\\x{hi:02x}]", ""))
 
 
 def quality_sum(qual) -> Column:
