@@ -49,6 +49,7 @@ def load_all() -> dict[str, Query]:
         q_mock,
         q_plots,
         q_profiles,
+        q_qc,
         q_reads,
     )
 
