@@ -46,6 +46,7 @@ def query(name: str, oracle: str | None = None, digits: int = 9):
 def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
     from taxaframe.plans import (  # noqa: F401
+        q_kmer,
         q_mock,
         q_plots,
         q_profiles,
