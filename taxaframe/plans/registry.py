@@ -47,6 +47,7 @@ def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
     from taxaframe.plans import (  # noqa: F401
         q_kmer,
+        q_markers,
         q_mock,
         q_plots,
         q_profiles,
