@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from taxaframe.functions.kernels import canonical_kmers
 from taxaframe.operators.qc import mates
+from taxaframe.session import cut_lineage
 
 
 def pack_kmer(c) -> F.Column:
@@ -29,8 +30,10 @@ def read_kmers(reads: DataFrame, k: int = 31) -> DataFrame:
 
 
 def catalogue(kmers: DataFrame, col: str = "kmer") -> DataFrame:
-    """Pack a text catalogue's k-mer column."""
-    return kmers.withColumn(col, pack_kmer(F.col(col)))
+    """A catalogue keyed by packed k-mers; text k-mers are packed, BIGINT ones kept."""
+    if dict(kmers.dtypes)[col] == "string":
+        return kmers.withColumn(col, pack_kmer(F.col(col)))
+    return kmers
 
 
 def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 31) -> DataFrame:
@@ -45,9 +48,14 @@ def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 31) -> DataFrame:
 
 # -- taxonomy closure --------------------------------------------------------------------
 
-def ancestors(tree: DataFrame) -> DataFrame:
+def ancestors(tree: DataFrame, materialize: bool = True) -> DataFrame:
     """(taxid, ancestor, depth): every node with itself and all its ancestors, with the
-    ancestor's depth (root = 0). Recursive CTE over the edge table (taxid, parent; root's parent 0)."""
+    ancestor's depth (root = 0). Recursive CTE over the edge table (taxid, parent; root's parent 0).
+
+    The closure is a dimension table (nodes x depth) used several times per job, so it
+    is checkpointed once to the shared checkpoint folder instead of re-running the
+    recursion at every use.
+    """
     spark: SparkSession = tree.sparkSession
     edges = tree.select(F.col("taxid").cast("bigint").alias("taxid"), F.col("parent").cast("bigint").alias("parent"))
     anc = spark.sql(
@@ -58,32 +66,58 @@ def ancestors(tree: DataFrame) -> DataFrame:
         e=edges,
     )
     depth = anc.groupBy("taxid").agg((F.count("*") - 1).alias("depth"))
-    return anc.join(depth.withColumnRenamed("taxid", "ancestor"), "ancestor").select("taxid", "ancestor", "depth")
+    out = anc.join(depth.withColumnRenamed("taxid", "ancestor"), "ancestor").select("taxid", "ancestor", "depth")
+    return cut_lineage(out) if materialize else out
+
+
+def paths(closure: DataFrame) -> DataFrame:
+    """(taxid, path): ancestors of each node ordered root -> node (bounded by tree depth)."""
+    return closure.groupBy("taxid").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("depth", "ancestor"))), lambda e: e["ancestor"]).alias("path")
+    )
 
 
 def classify(hits: DataFrame, closure: DataFrame) -> DataFrame:
     """Per read, the hit taxon with the highest root-to-taxon score (hits on it and its
     ancestors); ties -> lowest common ancestor of the tied taxa. Output (sample, read_id, taxid).
 
-    Every intermediate is keyed by read and bounded by the taxa one read hits.
+    One shuffle by read: each read's hit list (bounded by its k-mer count) is gathered
+    with every taxon's root path; scores and the LCA (longest common path prefix) are
+    then array expressions on that short list.
     """
-    anc = closure.select("taxid", "ancestor")
-    h2 = hits.select("sample", "read_id", F.col("taxid").alias("ancestor"), F.col("hits").alias("h"))
-    score = hits.select("sample", "read_id", "taxid").join(anc, "taxid").join(h2, ["sample", "read_id", "ancestor"]) \
-        .groupBy("sample", "read_id", "taxid").agg(F.sum("h").alias("score"))
-    w = Window.partitionBy("sample", "read_id")
-    tied = score.withColumn("_m", F.max("score").over(w)).filter(F.col("score") == F.col("_m")) \
-        .withColumn("_k", F.count("*").over(w)).select("sample", "read_id", "taxid", "_k")
-    cover = tied.join(closure, "taxid").groupBy("sample", "read_id", "ancestor", "depth", "_k").agg(F.count("*").alias("_c"))
-    lca = cover.filter(F.col("_c") == F.col("_k")).groupBy("sample", "read_id").agg(
-        F.max_by("ancestor", "depth").alias("taxid")
+    per_read = hits.join(paths(closure), "taxid").groupBy("sample", "read_id").agg(
+        F.collect_list(F.struct("taxid", "hits", "path")).alias("h")
+    )
+    scored = per_read.select(
+        "sample", "read_id",
+        F.transform(
+            "h",
+            lambda e: F.struct(
+                e["path"].alias("path"),
+                F.aggregate(
+                    F.filter(F.col("h"), lambda x: F.array_contains(e["path"], x["taxid"])),
+                    F.lit(0).cast("bigint"),
+                    lambda acc, x: acc + x["hits"],
+                ).alias("score"),
+            ),
+        ).alias("s"),
     )
-    return lca
+    best = scored.withColumn("m", F.array_max(F.transform("s", lambda e: e["score"])))
+    tied = best.select("sample", "read_id", F.transform(F.filter("s", lambda e: e["score"] == F.col("m")), lambda e: e["path"]).alias("t"))
+
+    def common(acc, p):
+        same = F.zip_with(acc, p, lambda a, b: F.coalesce(a == b, F.lit(False)))
+        n = F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, F.size(same))
+        return F.slice(acc, 1, n)
 
+    prefix = F.aggregate(F.col("t"), F.element_at("t", 1), common)
+    return tied.select("sample", "read_id", F.element_at(prefix, -1).alias("taxid"))
 
-def classify_reads(reads: DataFrame, kmers: DataFrame, tree: DataFrame, k: int = 31) -> DataFrame:
+
+def classify_reads(reads: DataFrame, kmers: DataFrame, tree: DataFrame, k: int = 31, closure: DataFrame | None = None) -> DataFrame:
     """Every pair with its taxon; 0 = unclassified (no k-mer hit)."""
-    lca = classify(kmer_hits(reads, kmers, k), ancestors(tree))
+    closure = closure if closure is not None else ancestors(tree)
+    lca = classify(kmer_hits(reads, kmers, k), closure)
     return reads.select("sample", "read_id").join(lca, ["sample", "read_id"], "left") \
         .withColumn("taxid", F.coalesce(F.col("taxid"), F.lit(0).cast("bigint")))
 
@@ -91,24 +125,35 @@ def classify_reads(reads: DataFrame, kmers: DataFrame, tree: DataFrame, k: int =
 def tree_report(assign: DataFrame, tree: DataFrame, closure: DataFrame | None = None) -> DataFrame:
     """Per sample and taxon: direct reads, clade reads (self + descendants), percent
     of all reads; taxid 0 is the unclassified row. Output
-    (sample, taxid, rank, name, direct_reads, clade_reads, pct)."""
+    (sample, taxid, rank, name, direct_reads, clade_reads, pct).
+
+    Single pass over the assignments: direct counts are spread to every ancestor by
+    one join with the closure (unclassified reads have no ancestors and stay on 0);
+    the per-sample total is the root's clade plus the unclassified row, taken by a
+    window over that sample's report rows (bounded by the taxa it contains).
+    """
     closure = closure if closure is not None else ancestors(tree)
-    direct = assign.groupBy("sample", "taxid").agg(F.count("*").alias("direct_reads"))
-    total = assign.groupBy("sample").agg(F.count("*").alias("_total"))
-    clade = direct.filter(F.col("taxid") != 0).join(closure.select("taxid", "ancestor"), "taxid") \
-        .groupBy("sample", F.col("ancestor").alias("taxid")).agg(F.sum("direct_reads").alias("clade_reads"))
-    unc = direct.filter(F.col("taxid") == 0).select("sample", "taxid", F.col("direct_reads").alias("clade_reads"))
-    rows = clade.unionByName(unc).join(direct, ["sample", "taxid"], "left").join(total, "sample")
-    names = tree.select(F.col("taxid").cast("bigint").alias("taxid"), "rank", "name")
-    out = rows.join(names, "taxid", "left").select(
-        "sample", "taxid",
+    direct = assign.groupBy("sample", "taxid").agg(F.count("*").alias("n"))
+    spread = direct.join(closure, "taxid", "left").select(
+        "sample",
+        F.coalesce("ancestor", "taxid").alias("node"),
+        F.coalesce("depth", F.lit(-1)).alias("depth"),
+        "n",
+        (F.col("ancestor").isNull() | (F.col("ancestor") == F.col("taxid"))).alias("self"),
+    )
+    rows = spread.groupBy("sample", "node", "depth").agg(
+        F.sum("n").alias("clade_reads"), F.sum(F.when(F.col("self"), F.col("n")).otherwise(0)).alias("direct_reads")
+    )
+    total = F.sum(F.when(F.col("depth") <= 0, F.col("clade_reads")).otherwise(0)).over(Window.partitionBy("sample"))
+    names = tree.select(F.col("taxid").cast("bigint").alias("node"), "rank", "name")
+    return rows.withColumn("_total", total).join(names, "node", "left").select(
+        "sample", F.col("node").alias("taxid"),
         F.coalesce("rank", F.lit("U")).alias("rank"),
         F.coalesce("name", F.lit("unclassified")).alias("name"),
-        F.coalesce("direct_reads", F.lit(0)).cast("bigint").alias("direct_reads"),
+        F.col("direct_reads").cast("bigint").alias("direct_reads"),
         F.col("clade_reads").cast("bigint").alias("clade_reads"),
         (F.col("clade_reads") * 100.0 / F.col("_total")).alias("pct"),
     )
-    return out
 
 
 def reestimate(report: DataFrame, distrib: DataFrame, level: str = "S", threshold: int = 10) -> DataFrame:
@@ -119,7 +164,11 @@ def reestimate(report: DataFrame, distrib: DataFrame, level: str = "S", threshol
     species j with P(i|j) > 0, in proportion to w_ij = P(i|j) * N_j / P(j|j).
     new_est_j = N_j + sum_i r_i * w_ij / sum_j' w_ij'; fraction = new_est_j / sum new_est.
     Output (sample, species, kraken_assigned_reads, added_reads, new_est_reads, fraction).
+
+    The report (one row per sample and taxon) is read twice; it is materialised once
+    in the shared checkpoint folder, as the classification step's output table.
     """
+    report = cut_lineage(report)
     sp = report.filter((F.col("rank") == level) & (F.col("clade_reads") >= threshold)).select(
         "sample", F.col("taxid").alias("species"), F.col("clade_reads").alias("n_j")
     )
