@@ -17,10 +17,16 @@ def safe_div(num, den) -> Column:
 
 
 def round_doubles(df: DataFrame, digits: int = 9) -> DataFrame:
-    """Round every floating column (sums differ in the last bits between engines)."""
+    """Round every floating column (sums differ in the last bits between engines).
+
+    Rounds the binary product ``x * 10^d`` half away from zero, then divides: the
+    same double arithmetic as SQL engines that round doubles natively, so exact
+    decimal ties (e.g. 0.0080078125) land on the same side in both.
+    """
+    scale = float(10 ** digits)
     return df.select(
         *[
-            F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
+            (F.round(F.col(f.name) * scale) / scale).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
             for f in df.schema.fields
         ]
     )
