@@ -1 +1,10 @@
-"""taxaframe.streaming"""
+"""Streaming: intentionally empty.
+
+The reference processes finite per-sample file sets with global barriers (its
+workflow collects every sample before unifying, evaluating and reporting); it has
+no watermark, window, late data or state. Every operator here is therefore a
+batch DataFrame function. Incremental arrival of new samples is served by the
+batch operators themselves: profiles are long tables partitioned by run, so a
+new sample is an append to the long Parquet table and a re-run of the
+aggregations, not a stateful stream.
+"""
