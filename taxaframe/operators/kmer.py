@@ -36,13 +36,26 @@ def catalogue(kmers: DataFrame, col: str = "kmer") -> DataFrame:
     return kmers
 
 
-def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 31) -> DataFrame:
+# Largest catalogue (rows of packed k-mer + taxid, ~16 bytes each) shipped to every task
+# instead of shuffling the read k-mers; above it the join is a shuffle (sort-merge) join.
+BROADCAST_MAX_ROWS = 8_000_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after counting it (one aggregate over a stored table);
+    larger inputs are returned unchanged and joined by shuffle."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 31, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(sample, read_id, taxid, hits): k-mers of a pair found in the catalogue, per taxon.
 
+    A catalogue under ``max_broadcast_rows`` is broadcast (read k-mers, ~140 per pair,
+    are then never shuffled); a larger one is joined by shuffle on the packed key.
     The per-read count is combined map-side before the join result is shuffled.
     """
-    rk = read_kmers(reads, k)
-    cat = catalogue(kmers).select("kmer", "taxid")
+    rk = read_kmers(reads, k).select("sample", "read_id", "kmer")
+    cat = sized_broadcast(catalogue(kmers).select("kmer", "taxid"), max_broadcast_rows)
     return rk.join(cat, "kmer").groupBy("sample", "read_id", "taxid").agg(F.count("*").alias("hits"))
 
 
@@ -194,7 +207,7 @@ def reestimate(report: DataFrame, distrib: DataFrame, level: str = "S", threshol
 
 def host_mates(reads: DataFrame, host_kmers: DataFrame, k: int = 31, min_hits: int = 5) -> DataFrame:
     """(sample, read_id, mate) of mates with at least ``min_hits`` k-mers in the catalogue."""
-    cat = catalogue(host_kmers.select("kmer")).distinct()
+    cat = sized_broadcast(catalogue(host_kmers.select("kmer")).distinct())
     hits = read_kmers(reads, k).join(cat, "kmer", "left_semi")
     return hits.groupBy("sample", "read_id", "mate").agg(F.count("*").alias("n")).filter(F.col("n") >= min_hits) \
         .select("sample", "read_id", "mate")
