@@ -306,18 +306,33 @@ def clean_totals(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
 
 # -- sampling, sync, discovery ----------------------------------------------------------
 
-def subsample(reads: DataFrame, n: int, seed: int = 100) -> DataFrame:
-    """Exactly min(n, size) pairs per sample, chosen by a seeded hash (both mates together).
-
-    ``row_number() <= n`` over the hash order plans as a WindowGroupLimit, so each
-    task keeps at most n rows per sample before the shuffle; a deep sample ships
-    n rows per task, not its whole depth.
+def subsample(reads: DataFrame, n: int, seed: int = 100, margin_sigma: float = 10.0) -> DataFrame:
+    """Exactly min(n, size) pairs per sample: the n smallest by a seeded hash of the
+    read id (both mates together; ties by read id).
+
+    Skew-safe: every pair gets a uniform key u in [0, 1) from the hash; a per-sample
+    threshold t = (n + margin*sqrt(n) + 100) / size keeps ~n candidates, so a deep
+    sample ranks about n rows, not its whole depth. u is monotone in the hash order,
+    so when a sample keeps at least min(n, size) candidates its n smallest are among
+    them; samples short of that (vanishingly rare) are ranked from all their pairs.
+    The rank is a ``row_number() <= n`` (WindowGroupLimit, partial before the shuffle).
     """
     from pyspark.sql import Window
 
     h = F.md5(F.concat(F.col("read_id"), F.lit(f":{seed}")))
-    w = Window.partitionBy("sample").orderBy(h, F.col("read_id"))
-    return reads.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    u = F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / float(16 ** 12)
+    sizes = reads.groupBy("sample").agg(F.count("*").alias("_size"))
+    thr = F.least(F.lit(1.0), (F.lit(n + margin_sigma * n ** 0.5 + 100)) / F.col("_size"))
+    tagged = reads.join(sizes, "sample").withColumn("_h", h)
+    cand = tagged.filter(u <= thr)
+    counts = cand.groupBy("sample").agg(F.count("*").alias("_c"))
+    short = sizes.join(counts, "sample", "left").filter(F.coalesce("_c", F.lit(0)) < F.least(F.lit(n), F.col("_size"))).select("sample")
+    w = Window.partitionBy("sample").orderBy(F.col("_h"), F.col("read_id"))
+
+    def top(df):
+        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn", "_h", "_size")
+
+    return top(cand.join(short, "sample", "left_anti")).unionByName(top(tagged.join(short, "sample", "left_semi")))
 
 
 def sync_mates(mate1: DataFrame, mate2: DataFrame, min_len: int = 15) -> DataFrame:

@@ -59,3 +59,13 @@ def test_subsample_exact_and_nested(spark):
     assert counts == {"s0": 20, "s1": 20, "s2": 20}
     assert small <= large
     assert RD.subsample(reads, 1000).count() == 300
+
+
+def test_subsample_fallback_is_exact(spark):
+    reads = spark.createDataFrame(
+        [(f"s{i % 2}", i, f"r{i}", "A", "I", "C", "I") for i in range(200)],
+        "sample string, ordinal long, read_id string, seq1 string, qual1 string, seq2 string, qual2 string",
+    )
+    normal = {r.read_id for r in RD.subsample(reads, 15).collect()}
+    forced = {r.read_id for r in RD.subsample(reads, 15, margin_sigma=-100.0).collect()}  # no candidates -> fallback
+    assert normal == forced and len(normal) == 30
