@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -120,18 +120,23 @@ _ENDS = re.compile(rf"[{_SOLID}](?:.*[{_SOLID}])?", re.S)
 
 
 class _Memo(dict):
-    """A bounded dict that fills itself; forgotten as a whole when full, so memory is bounded."""
+    """A bounded dict that fills itself. It keeps two generations of at most ``limit`` keys; keys
+    used again move on, the rest are forgotten, so memory is bounded and frequent keys stay."""
 
-    def __init__(self, make, limit: int = 500_000):
+    def __init__(self, make, limit: int = 300_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[key] = value
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > 64:
+                return value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -152,21 +157,27 @@ class CachedEncoder:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.keeps_space = self.tokenizer.normalizer is None
-        if self.keeps_space:
-            self.part = _Memo(self._encode)
-            self.word = _Memo(lambda w: self._spaced(" " + w))
-        else:
-            self.part = _Memo(self._encode)
-            self.word = _Memo(self._unspaced)
+        self.model = self.tokenizer.model
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        known = re.findall(rf"[{_L}{_P}0-9 \n]", "".join(map(chr, range(256))))
+        self.table = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in known}
+        self.part = _Memo(self._merge)
+        self.word = _Memo(self._spaced_word if self.keeps_space else self._unspaced)
 
     def _encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.array(ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _merge(self, part: str) -> bytes:
+        """Ids of one pre-token of known characters, by the library's merges alone."""
+        return array("I", [t.id for t in self.model.tokenize(part.translate(self.table))]).tobytes()
+
+    def _spaced_word(self, word: str) -> bytes:
+        return self._spaced(" " + word)
 
     def _spaced(self, text: str) -> bytes:
         if _WHOLE.fullmatch(text):
@@ -201,7 +212,3 @@ class CachedEncoder:
 def encoder(path: str) -> CachedEncoder:
     """The encoder of a Python worker, kept between its tasks."""
     return CachedEncoder(path)
-
-
-def crc32(data: bytes) -> int:
-    return zlib.crc32(data)
