@@ -31,28 +31,31 @@ ESCAPE = 15
 BLOCK_WORDS = 1 << 16
 
 
-def encode_ids(ids: np.ndarray) -> np.ndarray:
-    """Simple-8b words of non-negative ids."""
+def encode_ids(ids: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """Simple-8b words of non-negative ids. With ``counts`` (ids of each document, all positive)
+    every document starts on a new word; its word offset is returned too."""
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64)
     ids = ids.astype(np.uint64)
-    choice = np.full(n, ESCAPE, np.int64)
+    ends = np.array([n]) if counts is None else np.cumsum(counts)
+    room = np.repeat(ends, ends if counts is None else counts) - np.arange(n)
+    choice = np.full(n, ESCAPE, np.int8)
     step = np.ones(n, np.int64)
-    most = int(ids.max()).bit_length()
+    most, longest = int(ids.max()).bit_length(), int(room.max())
     for s in range(len(BITS) - 1, -1, -1):
         c, b = int(COUNTS[s]), int(BITS[s])
-        if c > n:
+        if c > longest:
             break
-        if most <= b:
-            choice[: n - c + 1], step[: n - c + 1] = s, c
-            continue
-        big = np.zeros(n + 1, np.int64)
-        np.cumsum(ids >> np.uint64(b) != 0, out=big[1:])
-        fits = np.flatnonzero(big[c:] == big[:-c])
-        if not len(fits):
-            break
-        choice[fits], step[fits] = s, c
+        fits = room[: n - c + 1] >= c
+        if most > b:
+            big = np.zeros(n + 1, np.int32)
+            np.cumsum(ids >> np.uint64(b) != 0, out=big[1:])
+            fits &= big[c:] == big[:-c]
+            if not fits.any():
+                break
+        choice[: n - c + 1][fits] = s
+        step[: n - c + 1][fits] = c
     hop, at, heads = step.tolist(), 0, []
     while at < n:
         heads.append(at)
@@ -70,7 +73,7 @@ def encode_ids(ids: np.ndarray) -> np.ndarray:
         for k in range(int(COUNTS[s])):
             word |= ids[own + k] << np.uint64(k * int(BITS[s]))
         out[at] = word
-    return out
+    return out if counts is None else (out, where[np.searchsorted(heads, ends - counts)])
 
 
 def decode_words(words: np.ndarray) -> np.ndarray:
@@ -104,9 +107,18 @@ _BLOCK = "file_no int, block_no int, file_start long, n_ids long, doc_ids array<
 def _blocks(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, file_no = encoder(path), TaskContext.get().partitionId()
-        tail = np.array([end_id], "<u4")
-        block_no = file_start = size = 0
-        ids, offsets, counts, words = [], [], [], []
+        tail = np.array([end_id], "<u4").tobytes()
+        block_no = file_start = size = held_ids = 0
+        ids, offsets, counts, words, held = [], [], [], [], []
+
+        def code():
+            nonlocal size, held_ids, held
+            own = np.array([len(x) // 4 for x in held], np.int64)
+            coded, at = encode_ids(np.frombuffer(b"".join(held), "<u4"), own)
+            offsets.extend((at + size).tolist())
+            counts.extend(own.tolist())
+            words.append(coded.astype("<u8").tobytes())
+            size, held_ids, held = size + len(coded), 0, []
 
         def flush():
             nonlocal block_no, file_start, size, ids, offsets, counts, words
@@ -121,15 +133,15 @@ def _blocks(path: str, end_id: int):
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = np.append(np.frombuffer(enc.ids(text.as_py()), "<u4"), tail)
-                coded = encode_ids(own)
                 ids.append(doc_id)
-                offsets.append(size)
-                counts.append(len(own))
-                words.append(coded.astype("<u8").tobytes())
-                size += len(coded)
-                if size >= BLOCK_WORDS:
-                    yield flush()
+                held.append(enc.ids(text.as_py()) + tail)
+                held_ids += len(held[-1]) // 4
+                if held_ids >= BLOCK_WORDS:  # documents are coded in groups
+                    code()
+                    if size >= BLOCK_WORDS:
+                        yield flush()
+        if held:
+            code()
         if ids:
             yield flush()
 
