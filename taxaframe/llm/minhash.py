@@ -121,13 +121,14 @@ def _bounds(keys: np.ndarray) -> list[tuple[int, int]]:
 
 def _components(linked: np.ndarray) -> np.ndarray:
     """The smallest reachable index of each row of a symmetric boolean matrix."""
-    label = np.arange(len(linked))
-    while True:
-        new = np.where(linked, label[None, :], len(linked)).min(1)
-        new = np.minimum(new, label)
-        if (new == label).all():
-            return label
-        label = new
+    label = np.full(len(linked), -1)
+    for start in range(len(linked)):
+        if label[start] < 0:
+            new = np.array([start])
+            while len(new):
+                label[new] = start
+                new = np.flatnonzero(linked[new].any(0) & (label < 0))
+    return label
 
 
 def _clusters(percent: int, positions: int):
@@ -141,12 +142,14 @@ def _clusters(percent: int, positions: int):
             keys, members, ids = [], [], []
             for a, b in _bounds(leaf):
                 order = a + np.argsort(k[a:b], kind="stable")
-                agree = np.zeros((b - a, b - a), np.int16)
-                own = sketch[order]
-                for p in range(positions):
-                    agree += own[:, p, None] == own[None, :, p]
-                size = n[order]
-                linked = (agree >= least) & (100 * np.minimum(size[:, None], size) >= percent * np.maximum(size[:, None], size))
+                own, size = sketch[order], n[order]
+                linked = np.zeros((b - a, b - a), bool)
+                for r in range(0, b - a, 256):  # bounded memory
+                    agree = np.zeros((len(own[r : r + 256]), b - a), np.uint8 if positions < 256 else np.int16)
+                    for p in range(positions):
+                        agree += own[r : r + 256, p, None] == own[None, :, p]
+                    few, many = np.minimum(size[r : r + 256, None], size), np.maximum(size[r : r + 256, None], size)
+                    linked[r : r + 256] = (agree >= least) & (100 * few >= percent * many)
                 np.fill_diagonal(linked, True)
                 if linked.sum() == b - a:
                     continue
@@ -165,15 +168,18 @@ def _clusters(percent: int, positions: int):
 def _confirm(percent: int):
     def shared(sets: list[np.ndarray]) -> np.ndarray:
         m = len(sets)
-        values, column = np.unique(np.concatenate(sets), return_inverse=True)
+        _, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         row = np.repeat(np.arange(m), [len(s) for s in sets])
         common = np.zeros((m, m), np.float64)
+        twice = uses[column] > 1  # what one set alone holds is in no intersection
+        column, row = (np.cumsum(uses > 1) - 1)[column[twice]], row[twice]
         order = np.argsort(column, kind="stable")
         column, row = column[order], row[order]
-        edges = np.searchsorted(column, np.arange(0, len(values) + 4096, 4096))
+        width = min(4096, max(1, int((uses > 1).sum())))
+        edges = np.searchsorted(column, np.arange(0, int((uses > 1).sum()) + width, width))
         for c, (a, b) in enumerate(zip(edges, edges[1:])):
-            block = np.zeros((m, 4096), np.float32)
-            block[row[a:b], column[a:b] - c * 4096] = 1
+            block = np.zeros((m, width), np.float32)
+            block[row[a:b], column[a:b] - c * width] = 1
             common += block @ block.T
         return common
 
@@ -214,7 +220,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 80, width: int = 5, trees: int = 16, positions: int = 64, leaf: int = 384, depth: int = 5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, percent: int = 80, width: int = 5, trees: int = 16, positions: int = 64, leaf: int = 2048, depth: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links
     of Jaccard similarity >= ``percent``/100, its own included) and kept (doc_id = component_id)."""
