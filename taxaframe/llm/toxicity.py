@@ -60,11 +60,22 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("y", pa.int32()), ("sizes", pa.binary()), ("features", pa.binary())]))
 
 
-def train_noisy_or(bags: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 12, batch: int = 128, rate: float = 0.15, decay: float = 2e-6) -> tuple[np.ndarray, float]:
-    """Weights and bias from (label, sentence sizes, features of all sentences)."""
-    weight, bias = np.zeros(1 << BITS), -4.0
-    square, bias_square = np.full(1 << BITS, 1e-6), 1e-6
+def train_noisy_or(
+    bags: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 20, batch: int = 64, rate: float = 0.3, start: float = 1e-4, shrink: float = 3e-4, least_docs: int = 4
+) -> tuple[np.ndarray, float]:
+    """Weights and bias from (label, sentence sizes, features of all sentences).
+
+    Features of fewer than ``least_docs`` documents keep weight 0; the others are pulled towards 0
+    by ``shrink`` a step (lasso), so that words without a part in the labels fall out.
+    """
+    size = 1 << BITS
+    weight, bias = np.zeros(size), -4.0
+    square, bias_square = np.full(size, start), start
     bags = [b for b in bags if len(b[1])]
+    docs = np.zeros(size, np.int64)
+    for _, _, features in bags:
+        docs[np.unique(features)] += 1
+    used = docs >= least_docs
     draw = np.random.default_rng(3)
     for _ in range(epochs if bags else 0):
         order = draw.permutation(len(bags))
@@ -80,10 +91,12 @@ def train_noisy_or(bags: list[tuple[int, np.ndarray, np.ndarray]], epochs: int =
             clean = np.exp(np.add.reduceat(np.log1p(-np.minimum(p, 1 - 1e-12)), doc_starts))
             pull = np.where(y == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0)  # d loss / d z = pull * p
             g = np.repeat(pull, per_doc) * p
-            grad = np.bincount(features, np.repeat(g, sizes), 1 << BITS) / len(part)
-            hit = np.flatnonzero(grad)
+            grad = np.bincount(features, np.repeat(g, sizes), size) / len(part)
+            hit = np.flatnonzero((grad != 0) & used)
             square[hit] += grad[hit] ** 2
-            weight[hit] -= rate * (grad[hit] / np.sqrt(square[hit]) + decay * weight[hit])
+            pace = rate / np.sqrt(square[hit])
+            moved = weight[hit] - pace * grad[hit]
+            weight[hit] = np.sign(moved) * np.maximum(np.abs(moved) - pace * shrink, 0)
             b = g.sum() / len(part)
             bias_square += b * b
             bias -= rate * b / np.sqrt(bias_square)
@@ -94,7 +107,7 @@ SCORES = "doc_id long, score double, offences array<struct<start:long,end:long,s
 _ARROW = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("offences", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample_docs: int = 12_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
+def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample_docs: int = 10_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """(weights, bias) from at most ``sample_docs`` labelled rows; ``train`` may restrict the ids."""
     rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("y").isNotNull())
