@@ -36,26 +36,14 @@ def catalogue(kmers: DataFrame, col: str = "kmer") -> DataFrame:
     return kmers
 
 
-# Largest catalogue (rows of packed k-mer + taxid, ~16 bytes each) shipped to every task
-# instead of shuffling the read k-mers; above it the join is a shuffle (sort-merge) join.
-BROADCAST_MAX_ROWS = 8_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it (one aggregate over a stored table);
-    larger inputs are returned unchanged and joined by shuffle."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 31, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 31) -> DataFrame:
     """(sample, read_id, taxid, hits): k-mers of a pair found in the catalogue, per taxon.
 
-    A catalogue under ``max_broadcast_rows`` is broadcast (read k-mers, ~140 per pair,
-    are then never shuffled); a larger one is joined by shuffle on the packed key.
+    The join strategy is left to the optimiser and its size-checked broadcast threshold.
     The per-read count is combined map-side before the join result is shuffled.
     """
     rk = read_kmers(reads, k).select("sample", "read_id", "kmer")
-    cat = sized_broadcast(catalogue(kmers).select("kmer", "taxid"), max_broadcast_rows)
+    cat = catalogue(kmers).select("kmer", "taxid")
     return rk.join(cat, "kmer").groupBy("sample", "read_id", "taxid").agg(F.count("*").alias("hits"))
 
 
@@ -63,7 +51,8 @@ def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 31, max_broadcast_row
 
 def ancestors(tree: DataFrame, materialize: bool = True) -> DataFrame:
     """(taxid, ancestor, depth): every node with itself and all its ancestors, with the
-    ancestor's depth (root = 0). Recursive CTE over the edge table (taxid, parent; root's parent 0).
+    ancestor's depth (root = 0). Recursive CTE over the edge table (taxid, parent; a root's parent is
+    0 or itself), without a row limit; a longer cycle ends in the recursion level limit's error.
 
     The closure is a dimension table (nodes x depth) used several times per job, so it
     is checkpointed once to the shared checkpoint folder instead of re-running the
@@ -74,8 +63,8 @@ def ancestors(tree: DataFrame, materialize: bool = True) -> DataFrame:
     anc = spark.sql(
         "WITH RECURSIVE anc(taxid, ancestor, up) AS ("
         " SELECT taxid, taxid, 0 FROM {e}"
-        " UNION ALL SELECT a.taxid, x.parent, a.up + 1 FROM anc a JOIN {e} x ON a.ancestor = x.taxid WHERE x.parent <> 0)"
-        " SELECT taxid, ancestor, up FROM anc",
+        " UNION ALL SELECT a.taxid, x.parent, a.up + 1 FROM anc a JOIN {e} x ON a.ancestor = x.taxid WHERE x.parent <> 0 AND x.parent <> x.taxid)"
+        " SELECT taxid, ancestor, up FROM anc LIMIT ALL",
         e=edges,
     )
     depth = anc.groupBy("taxid").agg((F.count("*") - 1).alias("depth"))
@@ -92,13 +81,15 @@ def paths(closure: DataFrame) -> DataFrame:
 
 def classify(hits: DataFrame, closure: DataFrame) -> DataFrame:
     """Per read, the hit taxon with the highest root-to-taxon score (hits on it and its
-    ancestors); ties -> lowest common ancestor of the tied taxa. Output (sample, read_id, taxid).
+    ancestors); ties -> lowest common ancestor of the tied taxa. A hit taxon that the tree
+    lacks stands alone, as a root of its own. Output (sample, read_id, taxid).
 
     One shuffle by read: each read's hit list (bounded by its k-mer count) is gathered
     with every taxon's root path; scores and the LCA (longest common path prefix) are
     then array expressions on that short list.
     """
-    per_read = hits.join(paths(closure), "taxid").groupBy("sample", "read_id").agg(
+    known = hits.join(paths(closure), "taxid", "left").withColumn("path", F.coalesce("path", F.array(F.col("taxid").cast("bigint"))))
+    per_read = known.groupBy("sample", "read_id").agg(
         F.collect_list(F.struct("taxid", "hits", "path")).alias("h")
     )
     scored = per_read.select(
@@ -124,7 +115,7 @@ def classify(hits: DataFrame, closure: DataFrame) -> DataFrame:
         return F.slice(acc, 1, n)
 
     prefix = F.aggregate(F.col("t"), F.element_at("t", 1), common)
-    return tied.select("sample", "read_id", F.element_at(prefix, -1).alias("taxid"))
+    return tied.select("sample", "read_id", F.try_element_at(prefix, F.lit(-1)).alias("taxid"))
 
 
 def classify_reads(reads: DataFrame, kmers: DataFrame, tree: DataFrame, k: int = 31, closure: DataFrame | None = None) -> DataFrame:
@@ -207,7 +198,7 @@ def reestimate(report: DataFrame, distrib: DataFrame, level: str = "S", threshol
 
 def host_mates(reads: DataFrame, host_kmers: DataFrame, k: int = 31, min_hits: int = 5) -> DataFrame:
     """(sample, read_id, mate) of mates with at least ``min_hits`` k-mers in the catalogue."""
-    cat = sized_broadcast(catalogue(host_kmers.select("kmer")).distinct())
+    cat = catalogue(host_kmers.select("kmer"))
     hits = read_kmers(reads, k).join(cat, "kmer", "left_semi")
     return hits.groupBy("sample", "read_id", "mate").agg(F.count("*").alias("n")).filter(F.col("n") >= min_hits) \
         .select("sample", "read_id", "mate")

@@ -139,26 +139,40 @@ def mock_metrics(long: DataFrame, abundance: DataFrame, taxa: DataFrame, synonym
     n = n_distinct(genus_universe(long, ref, synonyms), "genus")
     su = ref.select(F.sum("reference")).scalar()
     suu = ref.select(F.sum(F.col("reference") * F.col("reference"))).scalar()
+    ref_rows, ref_m2 = ref.select(F.count("reference")).scalar(), ref.select(F.var_pop("reference") * F.count("reference")).scalar()
+    ref_low, ref_high = ref.select(F.min("reference")).scalar(), ref.select(F.max("reference")).scalar()
 
     matched = obs.join(ref, "genus", "left").withColumn("u", F.coalesce(F.col("reference"), F.lit(0.0)))
     v, u = F.col("abundance"), F.col("u")
     stats = matched.groupBy("sample").agg(
         F.sum(v).alias("sv"),
-        F.sum(v * v).alias("svv"),
-        F.sum(u * v).alias("suv"),
+        F.count(v).alias("na"),
+        (F.var_pop(v) * F.count(v)).alias("v_m2"),
+        (F.covar_pop(u, v) * F.count(v)).alias("c_a"),
+        F.sum(u).alias("su_a"),
+        F.count("reference").alias("na_ref"),
+        F.sum(u * u).alias("suu_a"),
+        F.sum((u - v) * (u - v)).alias("dd"),
+        F.min(v).alias("v_low"),
+        F.max(v).alias("v_high"),
         F.sum(F.when(F.col("reference").isNotNull(), F.abs(u - v) - u - v).otherwise(F.lit(0.0))).alias("corr"),
     )
     # the universe size enters a higher-order function below: carry it as a column
     stats = stats.withColumn("n", n)
     n = F.col("n")
-    sv, svv, suv = F.col("sv"), F.col("svv"), F.col("suv")
+    sv, na = F.col("sv"), F.col("na")
     bc = F.try_divide(su + sv + F.col("corr"), su + sv)
-    cov = n * suv - su * sv
-    var_u = n * suu - su * su
-    var_v = n * svv - sv * sv
-    den = F.sqrt(var_u * var_v)
-    r = F.when((var_u > 1e-300) & (var_v > 1e-300), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cov / den)))
-    rmse = F.sqrt(F.greatest(suu + svv - 2 * suv, F.lit(0.0)) / n)
+    # centred moments over all n genera: those of the rows seen, joined with the absent ones (all 0)
+    var_v = F.col("v_m2") + (sv / na) * (sv / na) * na * (n - na) / n
+    var_u = ref_m2 + (su / ref_rows) * (su / ref_rows) * ref_rows * (n - ref_rows) / n
+    rest = F.when(n > na, (su - F.col("su_a")) / F.greatest(n - na, F.lit(1))).otherwise(F.lit(0.0))
+    cov = F.col("c_a") + (F.col("su_a") / na - rest) * (sv / na) * na * (n - na) / n
+    low = lambda seen, least: F.when(seen < n, F.least(least, F.lit(0.0))).otherwise(least)
+    high = lambda seen, most: F.when(seen < n, F.greatest(most, F.lit(0.0))).otherwise(most)
+    varies = (low(na, F.col("v_low")) < high(na, F.col("v_high"))) & (low(ref_rows, ref_low) < high(ref_rows, ref_high))
+    r = F.when(varies, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cov / F.sqrt(var_u) / F.sqrt(var_v))))
+    unseen = F.when(F.col("na_ref") < ref_rows, F.greatest(suu - F.col("suu_a"), F.lit(0.0))).otherwise(F.lit(0.0))
+    rmse = F.sqrt((F.col("dd") + unseen) / n)
     out = stats.select("sample", "n", bc.alias("bray_curtis"), r.alias("pearson_r"), rmse.alias("rmse"))
     return out.select("sample", "bray_curtis", "pearson_r", pearson_p(F.col("pearson_r"), n).alias("pearson_p"), "rmse")
 

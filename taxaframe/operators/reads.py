@@ -269,8 +269,11 @@ def clean_reads(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
     """Trim and classify every pair: the reads with a ``reason`` column ('passed' = kept)."""
     out = trim_all(reads, cfg).withColumn("reason", pair_reason(cfg))
     if cfg.dedup:
-        keepers = dedup_keepers(reads).select("read_id", F.lit(True).alias("_keeper"))
-        out = out.join(keepers, "read_id", "left").withColumn(
+        # read ids repeat across samples: a pair is named by sample, ordinal and id
+        key = ["sample", "ordinal", "read_id"]
+        best = reads.groupBy("sample", "seq1", "seq2").agg(F.min(F.struct("ordinal", "read_id")).alias("k"))
+        keepers = best.select("sample", "k.ordinal", "k.read_id", F.lit(True).alias("_keeper")).distinct()
+        out = out.join(keepers, key, "left").withColumn(
             "reason", F.when((F.col("reason") == PASSED) & F.col("_keeper").isNull(), DUPLICATE).otherwise(F.col("reason"))
         ).drop("_keeper")
     return out

@@ -80,12 +80,12 @@ FIXTURE_SQL: dict[str, str] = {
         "0.98*sum(l_quantity)/sum(sum(l_quantity)) OVER (PARTITION BY sample) AS fraction_total_reads FROM {fx_base} GROUP BY 1,2,3"
     ),
     "fx_mock_abundance": (
-        "SELECT concat('ASV',cast(p_partkey as string)) AS asv, cast(p_size as double) AS mock_reference FROM {part} WHERE p_partkey<60"
+        "SELECT concat('ASV',cast(p_partkey as string)) AS asv, cast(p_size as double) AS mock_reference FROM {part}"
     ),
     "fx_mock_taxa": (
         "SELECT concat('ASV',cast(p_partkey as string)) AS asv, p_type AS domain, CASE WHEN p_partkey%13=0 THEN NULL "
         "WHEN p_partkey%11=0 THEN 'OnlyInReference' ELSE replace(p_brand,'#','_') END AS genus FROM {part} "
-        "WHERE p_partkey<60 AND p_partkey%17<>0"
+        "WHERE p_partkey%17<>0"
     ),
     "fx_synonyms": (
         "SELECT * FROM (VALUES ('Brand_2','Brand_Two'),('Brand_3','Brand_Two'),('Brand_17','Brand_Seventeen')) AS t(name,canonical_name)"

@@ -148,11 +148,11 @@ def cleaned(cfg: CleanConfig) -> str:
     ctes.append(f"cl0 AS (SELECT *, {pair_reason(cfg)} AS reason FROM {last})")
     if cfg.dedup:
         ctes.append(
-            "keep AS (SELECT read_id FROM (SELECT read_id, row_number() OVER (PARTITION BY sample, seq1, seq2 ORDER BY ordinal, read_id) AS rn "
+            "keep AS (SELECT sample, ordinal, read_id FROM (SELECT sample, ordinal, read_id, row_number() OVER (PARTITION BY sample, seq1, seq2 ORDER BY ordinal, read_id) AS rn "
             "FROM fx_reads) WHERE rn = 1)"
         )
         ctes.append(
-            "cl AS (SELECT * REPLACE (CASE WHEN reason = 'passed' AND read_id NOT IN (SELECT read_id FROM keep) THEN 'duplicate' ELSE reason END AS reason) FROM cl0)"
+            "cl AS (SELECT * REPLACE (CASE WHEN reason = 'passed' AND (sample, ordinal, read_id) NOT IN (SELECT (sample, ordinal, read_id) FROM keep) THEN 'duplicate' ELSE reason END AS reason) FROM cl0)"
         )
     else:
         ctes.append("cl AS (SELECT * FROM cl0)")

@@ -85,9 +85,11 @@ class FastqPairsReader(DataSourceReader):
                 s2, _, q2 = b.readline().rstrip("\n"), b.readline(), b.readline().rstrip("\n")
                 if not h1.startswith("@") or not h2.startswith("@"):
                     raise ValueError(f"malformed FASTQ record in {partition.sample} at record {n}")
-                rid = h1[1:].split()[0]
-                if rid.endswith("/1"):
-                    rid = rid[:-2]
+                if len(s1) != len(q1) or len(s2) != len(q2) or not s1 or not s2:
+                    raise ValueError(f"truncated FASTQ record in {partition.sample} at record {n}")
+                rid, mate = h1[1:].split()[0].removesuffix("/1"), h2[1:].split()[0].removesuffix("/2")
+                if rid != mate:
+                    raise ValueError(f"mates of {partition.sample} disagree at record {n}: {rid}, {mate}")
                 yield (partition.sample, n, rid, s1, q1, s2, q2)
                 n += 1
 
@@ -126,14 +128,23 @@ def read_mock(spark: SparkSession, abundance_path: str, taxa_path: str) -> tuple
 
 def read_synonyms(spark: SparkSession, path: str | None) -> DataFrame:
     """``name, canonical_name``, both trimmed, last duplicate in file order wins;
-    missing path or file -> empty table (a warning, not an error)."""
+    no path or no such file -> empty table (a warning, not an error). The path may be any URI
+    that Spark reads."""
     schema = "name string, canonical_name string"
-    if not path or not os.path.exists(path):
+    from pyspark.errors import AnalysisException
+
+    from taxaframe.operators.mock import dedup_synonyms
+
+    try:
+        raw = spark.read.option("header", True).csv(path) if path else None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raw = None
+    if raw is None:
         import warnings
 
         warnings.warn(f"synonyms file not found: {path}")
         return spark.createDataFrame([], schema)
-    from taxaframe.operators.mock import dedup_synonyms
-
-    raw = spark.read.option("header", True).csv(path).withColumn("_ord", F.monotonically_increasing_id())
+    raw = raw.withColumn("_ord", F.monotonically_increasing_id())
     return dedup_synonyms(raw, order="_ord")
