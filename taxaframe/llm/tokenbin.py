@@ -28,6 +28,7 @@ from taxaframe.llm.common import encoder, shuffle_parts, stored
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 ESCAPE = 15
+_LARGEST = (np.uint64(1) << BITS.astype(np.uint64)) - np.uint64(1)
 BLOCK_WORDS = 1 << 16
 
 
@@ -43,6 +44,7 @@ def encode_ids(ids: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray
     choice = np.full(n, ESCAPE, np.int8)
     step = np.ones(n, np.int64)
     most, longest = int(ids.max()).bit_length(), int(room.max())
+    need = np.searchsorted(_LARGEST, ids).astype(np.uint8)  # the first selector wide enough
     for s in range(len(BITS) - 1, -1, -1):
         c, b = int(COUNTS[s]), int(BITS[s])
         if c > longest:
@@ -50,7 +52,7 @@ def encode_ids(ids: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray
         fits = room[: n - c + 1] >= c
         if most > b:
             big = np.zeros(n + 1, np.int32)
-            np.cumsum(ids >> np.uint64(b) != 0, out=big[1:])
+            np.cumsum(need > s, out=big[1:])
             fits &= big[c:] == big[:-c]
             if not fits.any():
                 break
