@@ -166,6 +166,7 @@ class CachedEncoder:
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         known = re.findall(rf"[{_L}{_P}0-9 \n]", "".join(map(chr, range(256))))
         self.table = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in known}
+        self.space = self.table[ord(" ")]
         self.part = _Memo(self._merge)
         self.word = _Memo(self._spaced_word if self.keeps_space else self._unspaced)
 
@@ -174,9 +175,14 @@ class CachedEncoder:
 
     def _merge(self, part: str) -> bytes:
         """Ids of one pre-token of known characters, by the library's merges alone."""
-        return array("I", [t.id for t in self.model.tokenize(part.translate(self.table))]).tobytes()
+        return self._merged(part.translate(self.table))
+
+    def _merged(self, part: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
 
     def _spaced_word(self, word: str) -> bytes:
+        if word.isalpha() and word.isascii():  # one pre-token; ASCII letters stand for themselves
+            return self._merged(self.space + word)
         return self._spaced(" " + word)
 
     def _spaced(self, text: str) -> bytes:
@@ -187,6 +193,8 @@ class CachedEncoder:
         return self._encode(text)
 
     def _unspaced(self, text: str) -> bytes:
+        if text.isalpha() and text.isascii():
+            return self._merged(text.lower())
         out = []
         for chunk in re.split(r"[ \t\n\r]+", text):
             if _CHUNK.fullmatch(chunk):

@@ -29,6 +29,8 @@ COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 ESCAPE = 15
 _LARGEST = (np.uint64(1) << BITS.astype(np.uint64)) - np.uint64(1)
+_NEED = np.searchsorted(_LARGEST, np.arange(1 << 16, dtype=np.uint64)).astype(np.uint8)
+_HOPS = np.append(COUNTS, [1, 1]).astype(np.uint8)  # ids that a word of each selector holds, an escape one
 BLOCK_WORDS = 1 << 16
 
 
@@ -40,25 +42,26 @@ def encode_ids(ids: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray
         return np.zeros(0, np.uint64)
     ids = ids.astype(np.uint64)
     ends = np.array([n]) if counts is None else np.cumsum(counts)
-    room = np.repeat(ends, ends if counts is None else counts) - np.arange(n)
+    room = np.minimum(np.repeat(ends, ends if counts is None else counts) - np.arange(n), COUNTS[0]).astype(np.uint8)
     choice = np.full(n, ESCAPE, np.int8)
-    step = np.ones(n, np.int64)
     most, longest = int(ids.max()).bit_length(), int(room.max())
-    need = np.searchsorted(_LARGEST, ids).astype(np.uint8)  # the first selector wide enough
+    need = _NEED[ids] if most <= 16 else np.searchsorted(_LARGEST, ids).astype(np.uint8)  # the first selector wide enough
     for s in range(len(BITS) - 1, -1, -1):
         c, b = int(COUNTS[s]), int(BITS[s])
         if c > longest:
             break
         fits = room[: n - c + 1] >= c
         if most > b:
-            big = np.zeros(n + 1, np.int32)
-            np.cumsum(need > s, out=big[1:])
-            fits &= big[c:] == big[:-c]
+            # all of the next c ids fit: runs of 1, 2, 4 ... joined, the last one overlapping
+            run, width = need <= s, 1
+            while width < c:
+                more = min(width, c - width)
+                run, width = run[: len(run) - more] & run[more:], width + more
+            fits &= run
             if not fits.any():
                 break
-        choice[: n - c + 1][fits] = s
-        step[: n - c + 1][fits] = c
-    hop, at, heads = step.tolist(), 0, []
+        np.copyto(choice[: n - c + 1], s, where=fits)
+    hop, at, heads = _HOPS[choice].tobytes(), 0, []
     while at < n:
         heads.append(at)
         at += hop[at]
