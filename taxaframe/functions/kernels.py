@@ -81,7 +81,7 @@ def window_index(w: int, thr: int, mode: str):
 # base -> 2-bit code; anything else (N) marks the window invalid
 _CODE = np.full(256, 4, dtype=np.int8)
 for _i, _b in enumerate(b"ACGT"):
-    _CODE[_b] = _i
+    _CODE[_b] = _CODE[_b + 32] = _i  # either case
 
 
 def _canonical_kmers(seq: pa.Array, k: int) -> pa.Array:
@@ -94,15 +94,18 @@ def _canonical_kmers(seq: pa.Array, k: int) -> pa.Array:
     if total == 0:
         offsets = np.zeros(n + 1, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array([], type=pa.int64()), mask=pa.array(nulls))
-    code = _CODE[data]
+    code = _CODE[data].astype(np.int64)
     row = np.repeat(np.arange(n), nwin)
     first = np.repeat(np.cumsum(nwin) - nwin, nwin)
     starts = np.arange(total) - first + offs[:-1][row]
-    win = np.lib.stride_tricks.sliding_window_view(code, k)[starts].astype(np.int64)
-    weights = 4 ** np.arange(k - 1, -1, -1, dtype=np.int64)
-    ok = ~(win == 4).any(axis=1)
-    fwd = win @ weights
-    rc = (3 - win[:, ::-1]) @ weights
+    # k rolling steps over all windows: memory is linear in the bases, whatever k is
+    fwd, rc = np.zeros(total, np.int64), np.zeros(total, np.int64)
+    ok = np.ones(total, bool)
+    for j in range(k):
+        base = code[starts + j]
+        ok &= base < 4
+        fwd = fwd * 4 + base
+        rc += (3 - base) << (2 * j)
     can = np.minimum(fwd, rc)[ok]
     counts = np.bincount(row[ok], minlength=n)
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)

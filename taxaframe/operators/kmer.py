@@ -20,7 +20,7 @@ from taxaframe.session import cut_lineage
 
 def pack_kmer(c) -> F.Column:
     """Canonical k-mer text (ACGT) -> 2-bit packed BIGINT (same order as the text)."""
-    return F.conv(F.translate(c, "ACGT", "0123"), 4, 10).cast("bigint")
+    return F.conv(F.translate(F.upper(c), "ACGT", "0123"), 4, 10).cast("bigint")
 
 
 def read_kmers(reads: DataFrame, k: int = 31) -> DataFrame:

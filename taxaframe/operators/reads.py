@@ -346,18 +346,19 @@ def sync_mates(mate1: DataFrame, mate2: DataFrame, min_len: int = 15) -> DataFra
 
 
 def adapter_candidates(reads: DataFrame, k: int = 10, tail: int = 30, top: int = 5) -> DataFrame:
-    """Most frequent k-mers among the last ``tail`` bases of mate 1, per sample (top ``top``).
+    """Most frequent k-mers among the last ``tail`` bases of each mate, per sample and mate (top ``top``).
 
-    Counts are combined map-side; the per-sample top list is a WindowGroupLimit.
+    Counts are combined map-side; the top list of a sample's mate is a WindowGroupLimit.
     """
     from pyspark.sql import Window
 
-    s = F.col("seq1")
+    s = F.col("s")
     t = s.substr(F.greatest(F.length(s) - tail + 1, F.lit(1)), F.lit(tail))
     starts = F.sequence(F.lit(1), F.greatest(F.length("t") - k + 1, F.lit(1)))
-    km = reads.select("sample", t.alias("t")).filter(F.length("t") >= k).select(
-        "sample", F.explode(F.transform(starts, lambda i: F.col("t").substr(i, F.lit(k)))).alias("kmer")
+    mates = reads.select("sample", F.posexplode(F.array("seq1", "seq2")).alias("m", "s"))
+    km = mates.select("sample", (F.col("m") + 1).alias("mate"), t.alias("t")).filter(F.length("t") >= k).select(
+        "sample", "mate", F.explode(F.transform(starts, lambda i: F.col("t").substr(i, F.lit(k)))).alias("kmer")
     )
-    counts = km.groupBy("sample", "kmer").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("sample").orderBy(F.desc("n"), F.asc("kmer"))
+    counts = km.groupBy("sample", "mate", "kmer").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("sample", "mate").orderBy(F.desc("n"), F.asc("kmer"))
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)

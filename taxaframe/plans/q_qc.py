@@ -50,33 +50,33 @@ POS = f"p AS (SELECT {K}, pos, substr(seq, pos, 1) AS base, ascii(substr(qual, p
 
 
 @query("qc_pos_quality", f"""
-WITH {RAW}, {POS}, a AS (SELECT {K}, pos, avg(score) AS mean, quantile_cont(score, [0.1, 0.25, 0.5, 0.75, 0.9]) AS q FROM p GROUP BY {K}, pos)
+WITH {BOTH}, {POS}, a AS (SELECT {K}, pos, avg(score) AS mean, quantile_cont(score, [0.1, 0.25, 0.5, 0.75, 0.9]) AS q FROM p GROUP BY {K}, pos)
 SELECT {K}, CAST(pos AS INTEGER) AS pos, round(mean, 9) AS mean, round(q[1], 9) AS p10, round(q[2], 9) AS q25, round(q[3], 9) AS median,
   round(q[4], 9) AS q75, round(q[5], 9) AS p90 FROM a""")
 def q_qc_pos_quality(fx):
-    return QC.qc_pos_quality(_raw(fx))
+    return QC.qc_pos_quality(_both(fx))
 
 
 @query("qc_read_quality", f"""
-WITH {RAW} SELECT {K}, CAST(floor({Q.quality_sum('qual')} / length(qual)) AS INTEGER) AS mean_quality, count(*) AS reads
+WITH {BOTH} SELECT {K}, CAST(floor({Q.quality_sum('qual')} / length(qual)) AS INTEGER) AS mean_quality, count(*) AS reads
 FROM m WHERE length(qual) > 0 GROUP BY ALL""")
 def q_qc_read_quality(fx):
-    return QC.qc_read_quality(_raw(fx))
+    return QC.qc_read_quality(_both(fx))
 
 
 @query("qc_base_content", f"""
-WITH {RAW}, {POS} SELECT {K}, CAST(pos AS INTEGER) AS pos,
+WITH {BOTH}, {POS} SELECT {K}, CAST(pos AS INTEGER) AS pos,
   {', '.join(f"round(sum(CASE WHEN base = '{b}' THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 9) AS pct_{b.lower()}" for b in 'ACGTN')}
 FROM p GROUP BY {K}, pos""")
 def q_qc_base_content(fx):
-    return QC.qc_base_content(_raw(fx))
+    return QC.qc_base_content(_both(fx))
 
 
 @query("qc_n_content", f"""
-WITH {RAW}, {POS} SELECT {K}, CAST(pos AS INTEGER) AS pos, round(sum(CASE WHEN base = 'N' THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 9) AS pct_n
+WITH {BOTH}, {POS} SELECT {K}, CAST(pos AS INTEGER) AS pos, round(sum(CASE WHEN base = 'N' THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 9) AS pct_n
 FROM p GROUP BY {K}, pos""")
 def q_qc_n_content(fx):
-    return QC.qc_n_content(_raw(fx))
+    return QC.qc_n_content(_both(fx))
 
 
 @query("qc_gc_hist", f"""
@@ -95,24 +95,24 @@ SEQC = f"c AS (SELECT {K}, seq, count(*) AS n FROM m GROUP BY {K}, seq)"
 
 
 @query("qc_duplication", f"""
-WITH {RAW}, {SEQC},
+WITH {BOTH}, {SEQC},
  lv AS (SELECT {K}, n AS level, count(*) AS sequences, CAST(sum(n) AS BIGINT) AS reads FROM c GROUP BY {K}, n),
  t AS (SELECT {K}, round(count(*) * 100.0::DOUBLE / sum(n), 9) AS pct_remaining FROM c GROUP BY {K})
 SELECT lv.*, t.pct_remaining FROM lv JOIN t USING (stage, sample, mate)""")
 def q_qc_duplication(fx):
-    return QC.qc_duplication(_raw(fx))
+    return QC.qc_duplication(_both(fx))
 
 
 @query("qc_overrepresented", f"""
-WITH {RAW}, {SEQC}, t AS (SELECT {K}, sum(n) AS total FROM c GROUP BY {K})
+WITH {BOTH}, {SEQC}, t AS (SELECT {K}, sum(n) AS total FROM c GROUP BY {K})
 SELECT c.stage, c.sample, c.mate, c.seq, c.n AS count, round(c.n * 100.0::DOUBLE / t.total, 9) AS pct
 FROM c JOIN t USING (stage, sample, mate) WHERE c.n * 100.0::DOUBLE / t.total > 0.1""")
 def q_qc_overrepresented(fx):
-    return QC.qc_overrepresented(_raw(fx))
+    return QC.qc_overrepresented(_both(fx))
 
 
 @query("qc_adapter", f"""
-WITH {RAW},
+WITH {BOTH},
  s AS (SELECT {K}, instr(seq, '{RD.TRUSEQ_ADAPTER}') AS pos, count(*) AS n FROM m WHERE instr(seq, '{RD.TRUSEQ_ADAPTER}') > 0 GROUP BY ALL),
  b AS (SELECT {K}, count(*) AS reads, max(length(seq)) AS maxlen FROM m GROUP BY {K}),
  g AS (SELECT {K}, reads, unnest(range(1, greatest(maxlen, 1) + 1)) AS pos FROM b)
@@ -120,20 +120,23 @@ SELECT g.stage, g.sample, g.mate, CAST(g.pos AS INTEGER) AS pos,
   round(sum(coalesce(s.n, 0)) OVER (PARTITION BY g.stage, g.sample, g.mate ORDER BY g.pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 100.0::DOUBLE / g.reads, 9) AS pct_adapter
 FROM g LEFT JOIN s ON s.stage = g.stage AND s.sample = g.sample AND s.mate = g.mate AND s.pos = g.pos""")
 def q_qc_adapter(fx):
-    return QC.qc_adapter(_raw(fx))
+    return QC.qc_adapter(_both(fx))
 
 
 @query("qc_kmer", f"""
-WITH {RAW},
+WITH {BOTH},
  k AS (SELECT {K}, pos, substr(seq, pos, 5) AS kmer FROM (SELECT *, unnest(range(1, length(seq) - 5 + 2)) AS pos FROM m WHERE length(seq) >= 5)),
  pp AS (SELECT {K}, kmer, pos, count(*) AS n FROM k WHERE NOT contains(kmer, 'N') GROUP BY ALL),
- st AS (SELECT *, sum(n) OVER (PARTITION BY stage, sample, mate, kmer) AS total, count(*) OVER (PARTITION BY stage, sample, mate, kmer) AS npos FROM pp),
- r AS (SELECT *, n * npos / total AS ratio FROM st),
+ tot AS (SELECT stage, sample, mate, kmer, sum(n) AS total FROM pp GROUP BY ALL),
+ ap AS (SELECT stage, sample, mate, pos, sum(n) AS at_pos FROM pp GROUP BY ALL),
+ al AS (SELECT stage, sample, mate, sum(n) AS in_all FROM pp GROUP BY ALL),
+ r AS (SELECT pp.*, tot.total, pp.n::DOUBLE * al.in_all / (tot.total::DOUBLE * ap.at_pos) AS ratio FROM pp JOIN tot USING (stage, sample, mate, kmer)
+   JOIN ap USING (stage, sample, mate, pos) JOIN al USING (stage, sample, mate)),
  one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stage, sample, mate, kmer ORDER BY ratio DESC, pos) AS rr FROM r) WHERE rr = 1),
  rk AS (SELECT *, row_number() OVER (PARTITION BY stage, sample, mate ORDER BY ratio DESC, kmer) AS rank FROM one)
 SELECT {K}, kmer, CAST(total AS BIGINT) AS total, CAST(pos AS INTEGER) AS max_pos, round(ratio, 9) AS ratio, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""")
 def q_qc_kmer(fx):
-    return QC.qc_kmer(_raw(fx), k=5, top=10)
+    return QC.qc_kmer(_both(fx), k=5, top=10)
 
 
 @query("qc_delta", f"""

@@ -149,10 +149,11 @@ def q_sync_mates(fx):
 
 
 @query("adapter_candidates", """
-WITH t AS (SELECT sample, substr(seq1, greatest(length(seq1) - 30 + 1, 1), 30) AS t FROM fx_reads),
- k AS (SELECT sample, unnest(list_transform(range(1, length(t) - 10 + 2), lambda i: substr(t, i, 10))) AS kmer FROM t WHERE length(t) >= 10),
- c AS (SELECT sample, kmer, count(*) AS n FROM k GROUP BY 1, 2)
-SELECT sample, kmer, n, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY n DESC, kmer) AS rank FROM c) WHERE rank <= 5""")
+WITH s AS (SELECT sample, 1 AS mate, seq1 AS seq FROM fx_reads UNION ALL SELECT sample, 2, seq2 FROM fx_reads),
+ t AS (SELECT sample, mate, substr(seq, greatest(length(seq) - 30 + 1, 1), 30) AS t FROM s),
+ k AS (SELECT sample, mate, unnest(list_transform(range(1, length(t) - 10 + 2), lambda i: substr(t, i, 10))) AS kmer FROM t WHERE length(t) >= 10),
+ c AS (SELECT sample, mate, kmer, count(*) AS n FROM k GROUP BY 1, 2, 3)
+SELECT sample, mate, kmer, n, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY sample, mate ORDER BY n DESC, kmer) AS rank FROM c) WHERE rank <= 5""")
 def q_adapter_candidates(fx):
     return RD.adapter_candidates(fx.reads, k=10, tail=30, top=5)
 

@@ -56,6 +56,15 @@ def detect_tool(paths: DataFrame, path: str = "path", group: str | None = None)
     return g.agg(names.alias("tool"))
 
 
+def require_tool(paths: DataFrame, path: str = "path") -> str:
+    """S7 (K4): the one tool that all paths name; raises for unknown, mixed or no paths."""
+    codes = F.array_sort(F.collect_set(tool_of(path)))  # at most four codes
+    named = [[*TOOL_PRIORITY, "unknown"][c - 1] for c in paths.agg(codes.alias("c")).first()["c"]]
+    if len(named) != 1 or named[0] == "unknown":
+        raise ValueError(f"input paths have to name exactly one known tool; found {named or 'no paths'}")
+    return named[0]
+
+
 def sample_name(path, tool: str) -> Column:
     """Sample name = file base name up to the tool's delimiter."""
     base = F.substring_index(as_col(path), "/", -1)
@@ -88,8 +97,9 @@ def read_motus(spark: SparkSession, paths) -> DataFrame:
 
 
 def read_bracken(spark: SparkSession, paths) -> DataFrame:
-    """Bracken profiles; raises when a required column is missing."""
-    df = spark.read.option("sep", "\t").option("header", True).csv(paths)
+    """Bracken profiles; raises when a required column is missing. The header of every file is
+    held against the columns of the first when it is read; a file with others raises."""
+    df = spark.read.option("sep", "\t").option("header", True).option("enforceSchema", False).csv(paths)
     missing = BRACKEN_REQUIRED - set(df.columns)
     if missing:
         raise ValueError(f"Bracken input is missing required columns {sorted(missing)}; found {df.columns}")

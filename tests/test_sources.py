@@ -100,6 +100,25 @@ def test_detect_tool_priority(spark):
     assert SP.detect_tool(spark.createDataFrame([("x/z.txt",)], "path string")).first().tool == "unknown"
 
 
+def test_require_tool_raises_on_mixed_or_unknown(spark):
+    frame = lambda *p: spark.createDataFrame([(x,) for x in p], "path string")
+    assert SP.require_tool(frame("x/a.bracken", "y/b.bracken")) == "bracken"
+    for bad in (frame("x/a.bracken", "x/b_motus.tsv"), frame("x/z.txt"), frame("x/z.txt", "x/a.bracken"), frame()):
+        with pytest.raises(ValueError):
+            SP.require_tool(bad)
+
+
+def test_bracken_header_checked_per_file(spark, tmp):
+    head = "name\ttaxonomy_id\ttaxonomy_lvl\tkraken_assigned_reads\tadded_reads\tnew_est_reads\tfraction_total_reads\n"
+    first, second = os.path.join(tmp, "a.bracken"), os.path.join(tmp, "b.bracken")
+    open(first, "w").write(head + "A\t1\tS\t5\t1\t6\t1.0\n")
+    open(second, "w").write(head + "B\t2\tS\t5\t1\t6\t1.0\n")
+    assert SP.read_bracken(spark, [first, second]).count() == 2
+    open(second, "w").write(head.replace("name\ttaxonomy_id", "taxonomy_id\tname") + "2\tB\tS\t5\t1\t6\t1.0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        SP.read_bracken(spark, [first, second]).collect()
+
+
 def test_mock_and_synonym_sources(spark, tmp):
     a, t, s = (os.path.join(tmp, n) for n in ("ab.csv", "tx.csv", "syn.csv"))
     open(a, "w").write("ASV,Mock Reference\nA1,0.5\nA2,0.5\n")
