@@ -1,16 +1,15 @@
 """Pair overlap analysis and overlap base correction.
 
-The one place a Python function runs per row: finding the offset where mate 1
-and the reverse complement of mate 2 agree is a search over offsets with a
-mismatch budget, which SQL expresses only as a quadratic array program. It runs
-as ``mapInPandas`` over Arrow batches, vectorised with NumPy per pair (all
-offsets compared at once through a sliding-window view), and stays a narrow,
-partition-local transformation.
+Finding the offset where mate 1 and the reverse complement of mate 2 agree is a search over
+offsets with a mismatch budget. It runs as ``mapInPandas`` over Arrow batches, as a narrow,
+partition-local step: the mates of many pairs become padded byte matrices, and every offset is
+one NumPy pass over all pairs that are still open. Matrices hold a bounded number of cells,
+so memory doesn't grow with read length.
 
 Contract: offsets o >= 0 (mate 2 starts o bases after mate 1) are tried first,
 smallest first, then o < 0 closest to 0. An offset qualifies when the overlap is
 at least ``min_overlap`` bases with at most ``max_mismatch`` mismatches.
-insert size = o + len(mate 2).
+insert size = o + len(mate 2). A null mate has no overlap and stays null.
 """
 
 from __future__ import annotations
@@ -20,52 +19,64 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 _COMP = bytes.maketrans(b"ACGTN", b"TGCAN")
-_PAD1, _PAD2 = 1, 2  # byte values that never occur in a read
-
-
-def _find(a: np.ndarray, b: np.ndarray, min_ov: int, max_mm: int):
-    """(offset, overlap, mismatches) of the first qualifying offset, or None."""
-    la, lb = len(a), len(b)
-    if la >= min_ov and lb >= min_ov:
-        pad = np.concatenate([a, np.full(lb, _PAD1, dtype=np.uint8)])
-        win = np.lib.stride_tricks.sliding_window_view(pad, lb)[: la - min_ov + 1]
-        mm = ((win != b) & (win != _PAD1)).sum(axis=1)
-        ov = np.minimum(la - np.arange(len(win)), lb)
-        ok = np.nonzero((ov >= min_ov) & (mm <= max_mm))[0]
-        if len(ok):
-            o = int(ok[0])
-            return o, int(ov[o]), int(mm[o])
-        pad = np.concatenate([b, np.full(la, _PAD2, dtype=np.uint8)])
-        win = np.lib.stride_tricks.sliding_window_view(pad, la)[1: lb - min_ov + 1]
-        mm = ((win != a) & (win != _PAD2)).sum(axis=1)
-        ov = np.minimum(lb - np.arange(1, len(win) + 1), la)
-        ok = np.nonzero((ov >= min_ov) & (mm <= max_mm))[0]
-        if len(ok):
-            k = int(ok[0])
-            return -(k + 1), int(ov[k]), int(mm[k])
-    return None
-
-
-def _as_array(s: str) -> np.ndarray:
-    return np.frombuffer(s.encode("ascii"), dtype=np.uint8)
+_PAD1, _PAD2 = 1, 2  # byte values that never occur in a read and never agree
+_CELLS = 4_000_000
 
 
-def _overlap_batches(batches, min_ov, max_mm):
+def _matrix(texts: list[bytes], pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as rows of a byte matrix filled up with ``pad``, and their lengths."""
+    lens = np.array([len(t) for t in texts], np.int64)
+    out = np.full((len(texts), int(lens.max(initial=0))), pad, np.uint8)
+    out[np.arange(out.shape[1]) < lens[:, None]] = np.frombuffer(b"".join(texts), np.uint8)
+    return out, lens
+
+
+def _texts(matrix: np.ndarray, lens: np.ndarray) -> list[bytes]:
+    return [row[:n].tobytes() for row, n in zip(matrix, lens.tolist())]
+
+
+def _bytes(column) -> list[bytes]:
+    return [(t or "").encode("ascii", "replace") for t in column]
+
+
+def _find(a, la, r, lr, min_ov: int, max_mm: int):
+    """Per row: found, offset, overlap, mismatches of the first qualifying offset."""
+    n = len(la)
+    found, at, ov, mm = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for x, lx, y, ly, first, sign in ((a, la, r, lr, 0, 1), (r, lr, a, la, 1, -1)):
+        rows = np.flatnonzero(~found & (lx >= min_ov) & (ly >= min_ov))
+        for o in range(first, x.shape[1] - min_ov + 1):
+            rows = rows[lx[rows] - o >= min_ov]
+            if not len(rows):
+                break
+            width = min(x.shape[1] - o, y.shape[1])
+            shared = np.minimum(lx[rows] - o, ly[rows])
+            # padding never agrees: take its share off the differences
+            differ = np.count_nonzero(x[rows, o : o + width] != y[rows, :width], axis=1) - (width - shared)
+            hit = differ <= max_mm
+            own = rows[hit]
+            found[own], at[own], ov[own], mm[own] = True, sign * o, shared[hit], differ[hit]
+            rows = rows[~hit]
+    return found, at, ov, mm
+
+
+def _parts(batches):
+    """Batches cut so that a matrix of a part's reads stays within a bounded number of cells."""
     for pdf in batches:
-        offs, ovs, mms, ins = [], [], [], []
-        for s1, s2 in zip(pdf["seq1"], pdf["seq2"]):
-            rc2 = s2.encode("ascii").translate(_COMP)[::-1]
-            hit = _find(_as_array(s1), np.frombuffer(rc2, dtype=np.uint8), min_ov, max_mm)
-            if hit is None:
-                offs.append(None), ovs.append(None), mms.append(None), ins.append(None)
-            else:
-                o, ov, mm = hit
-                offs.append(o), ovs.append(ov), mms.append(mm), ins.append(o + len(s2))
+        longest = max(int(pdf[c].str.len().max()) if pdf[c].notna().any() else 0 for c in ("seq1", "seq2")) if len(pdf) else 0
+        rows = max(1, _CELLS // max(1, longest))
+        for start in range(0, len(pdf), rows):
+            yield pdf.iloc[start : start + rows]
+
+
+def _overlap_batches(batches, min_ov, max_mm):
+    for pdf in _parts(batches):
+        a, la = _matrix(_bytes(pdf["seq1"]), _PAD1)
+        r, lr = _matrix([t.translate(_COMP)[::-1] for t in _bytes(pdf["seq2"])], _PAD2)
+        found, at, ov, mm = _find(a, la, r, lr, min_ov, max_mm)
         out = pdf.copy()
-        out["overlap_offset"] = pd.array(offs, dtype="Int32")
-        out["overlap_len"] = pd.array(ovs, dtype="Int32")
-        out["mismatches"] = pd.array(mms, dtype="Int32")
-        out["insert_size"] = pd.array(ins, dtype="Int32")
+        for name, values in (("overlap_offset", at), ("overlap_len", ov), ("mismatches", mm), ("insert_size", at + lr)):
+            out[name] = pd.arrays.IntegerArray(values.astype(np.int32), ~found)
         yield out
 
 
@@ -77,41 +88,38 @@ def overlap(reads: DataFrame, min_overlap: int = 30, max_mismatch: int = 5) -> D
 
 
 def _correct_batches(batches, min_ov, max_mm, low, high):
-    for pdf in batches:
-        out = {k: [] for k in ("seq1", "qual1", "seq2", "qual2", "corrected")}
-        for s1, q1, s2, q2 in zip(pdf["seq1"], pdf["qual1"], pdf["seq2"], pdf["qual2"]):
-            a = bytearray(s1.encode("ascii"))
-            qa = bytearray(q1.encode("ascii"))
-            b = bytearray(s2.encode("ascii"))
-            qb = bytearray(q2.encode("ascii"))
-            rc2 = bytes(b).translate(_COMP)[::-1]
-            hit = _find(np.frombuffer(bytes(a), dtype=np.uint8), np.frombuffer(rc2, dtype=np.uint8), min_ov, max_mm)
-            n = 0
-            if hit is not None:
-                o, ov, _ = hit
-                lb = len(b)
-                for j in range(ov):
-                    ia, ir = (o + j, j) if o >= 0 else (j, j - o)
-                    ib = lb - 1 - ir  # position in mate 2
-                    base_r = rc2[ir]
-                    if a[ia] == base_r:
-                        continue
-                    sa, sb = qa[ia] - 33, qb[ib] - 33
-                    if sa >= high and sb <= low:
-                        b[ib] = bytes([a[ia]]).translate(_COMP)[0]
-                        qb[ib] = qa[ia]
-                        n += 1
-                    elif sb >= high and sa <= low:
-                        a[ia] = base_r
-                        qa[ia] = qb[ib]
-                        n += 1
-            out["seq1"].append(a.decode()), out["qual1"].append(qa.decode())
-            out["seq2"].append(b.decode()), out["qual2"].append(qb.decode())
-            out["corrected"].append(n)
-        res = pdf.copy()
-        for k in ("seq1", "qual1", "seq2", "qual2"):
-            res[k] = out[k]
-        res["corrected"] = pd.array(out["corrected"], dtype="Int32")
+    for pdf in _parts(batches):
+        a, la = _matrix(_bytes(pdf["seq1"]), _PAD1)
+        r, lr = _matrix([t.translate(_COMP)[::-1] for t in _bytes(pdf["seq2"])], _PAD2)
+        found, at, ov, mm = _find(a, la, r, lr, min_ov, max_mm)
+        res, corrected = pdf.copy(), np.zeros(len(pdf), np.int32)
+        rows = np.flatnonzero(found & (mm > 0))
+        if len(rows):
+            own = pdf.iloc[rows]
+            qa, lqa = _matrix(_bytes(own["qual1"]), 33)
+            qr, lqr = _matrix([t[::-1] for t in _bytes(own["qual2"])], 33)
+            a, r, la, lr = a[rows], r[rows], la[rows], lr[rows]
+            # every differing place inside the overlaps, in mate 1 and in reversed mate 2
+            j = np.arange(int(ov[rows].max()))
+            row, step = np.nonzero(j < ov[rows][:, None])
+            in_a, in_r = step + np.maximum(at[rows], 0)[row], step + np.maximum(-at[rows], 0)[row]
+            differ = a[row, in_a] != r[row, in_r]
+            row, in_a, in_r = row[differ], in_a[differ], in_r[differ]
+            sa, sr = qa[row, in_a].astype(int) - 33, qr[row, in_r].astype(int) - 33
+            to_r, to_a = (sa >= high) & (sr <= low), (sr >= high) & (sa <= low)
+            for take, x, qx, ix, y, qy, iy in ((to_r, r, qr, in_r, a, qa, in_a), (to_a, a, qa, in_a, r, qr, in_r)):
+                x[row[take], ix[take]] = y[row[take], iy[take]]
+                qx[row[take], ix[take]] = qy[row[take], iy[take]]
+            corrected[rows] = np.bincount(row[to_r | to_a], minlength=len(rows))
+            new = {
+                "seq1": _texts(a, la), "qual1": _texts(qa, lqa),
+                "seq2": [t.translate(_COMP)[::-1] for t in _texts(r, lr)], "qual2": [t[::-1] for t in _texts(qr, lqr)],
+            }
+            for name, values in new.items():
+                column = pdf[name].to_numpy(dtype=object, copy=True)
+                column[rows] = [v.decode("ascii") for v in values]
+                res[name] = column
+        res["corrected"] = corrected
         yield res
 
 

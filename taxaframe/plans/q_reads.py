@@ -163,14 +163,42 @@ def q_revcomp(fx):
     return fx.reads.select("read_id", revcomp("seq2").alias("rc2"))
 
 
-@query("read_overlap")
+# every offset of every pair by its Hamming distance; the first that qualifies is taken
+_OVERLAP_SQL = """
+ r AS MATERIALIZED (SELECT *, row_number() OVER () AS rid, reverse(translate(seq2, 'ACGTN', 'TGCAN')) AS rc, reverse(qual2) AS rq FROM fx_reads),
+ o AS (SELECT rid, seq1, rc, unnest(list_concat(range(0, length(seq1) - 29), list_transform(range(1, length(rc) - 29), lambda k: -k))) AS off
+   FROM r WHERE length(seq1) >= 30 AND length(rc) >= 30),
+ v AS (SELECT *, least(length(seq1) - greatest(off, 0), length(rc) - greatest(-off, 0)) AS ov FROM o),
+ h AS (SELECT rid, off, ov, hamming(substr(seq1, greatest(off, 0) + 1, ov), substr(rc, greatest(-off, 0) + 1, ov)) AS mm FROM v),
+ hit AS (SELECT rid, arg_min({'off': off, 'ov': ov, 'mm': mm}, CASE WHEN off >= 0 THEN off ELSE 1000000 - off END) AS b FROM h WHERE mm <= 5 GROUP BY rid),
+ ro AS (SELECT r.*, hit.b.off AS off, hit.b.ov AS ov, hit.b.mm AS mm FROM r LEFT JOIN hit ON r.rid = hit.rid)"""
+
+
+@query("read_overlap", f"""
+WITH {_OVERLAP_SQL}
+SELECT sample, read_id, CAST(off AS INTEGER) AS overlap_offset, CAST(ov AS INTEGER) AS overlap_len, CAST(mm AS INTEGER) AS mismatches,
+  CAST(off + length(seq2) AS INTEGER) AS insert_size FROM ro""")
 def q_read_overlap(fx):
     from taxaframe.operators.overlap import overlap
 
     return overlap(fx.reads).select("sample", "read_id", "overlap_offset", "overlap_len", "mismatches", "insert_size")
 
 
-@query("overlap_correction")
+def _corrected(own: str, own_q: str, other: str, other_q: str, sign: str, value: str) -> str:
+    """Text of a mate whose weak bases (or their qualities) are taken from the place that faces them."""
+    there = f"i {sign} off"
+    return (f"array_to_string(list_transform(range(1, length({own}) + 1), lambda i: CASE WHEN {there} BETWEEN 1 AND length({other}) "
+            f"AND {own}[i] <> {other}[{there}] AND ascii({own_q}[i]) - 33 <= 14 AND ascii({other_q}[{there}]) - 33 >= 30 "
+            f"THEN {value}[{there}] ELSE {own if value == other else own_q}[i] END), '')")
+
+
+@query("overlap_correction", f"""
+WITH {_OVERLAP_SQL},
+ c AS (SELECT *, {_corrected('seq1', 'qual1', 'rc', 'rq', '-', 'rc')} AS s1, {_corrected('seq1', 'qual1', 'rc', 'rq', '-', 'rq')} AS q1,
+   {_corrected('rc', 'rq', 'seq1', 'qual1', '+', 'seq1')} AS s2, {_corrected('rc', 'rq', 'seq1', 'qual1', '+', 'qual1')} AS q2 FROM ro WHERE mm > 0)
+SELECT sample, read_id, seq1, qual1, seq2, qual2, CAST(0 AS INTEGER) AS corrected FROM ro WHERE coalesce(mm, 0) = 0
+UNION ALL SELECT sample, read_id, s1, q1, reverse(translate(s2, 'ACGTN', 'TGCAN')), reverse(q2),
+  CAST(hamming(seq1, s1) + hamming(rc, s2) AS INTEGER) FROM c""")
 def q_overlap_correction(fx):
     from taxaframe.operators.overlap import correct_overlap
 
