@@ -123,7 +123,7 @@ class _Memo(dict):
     """A bounded dict that fills itself. It keeps two generations of at most ``limit`` keys; keys
     used again move on, the rest are forgotten, so memory is bounded and frequent keys stay."""
 
-    def __init__(self, make, limit: int = 300_000):
+    def __init__(self, make, limit: int = 100_000):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 

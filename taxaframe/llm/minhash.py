@@ -191,7 +191,9 @@ def _confirm(percent: int):
                 sets = [np.frombuffer(blobs[i].as_py(), np.uint64) for i in range(a, b)]
                 size = np.array([len(s) for s in sets])
                 common = shared(sets)
-                linked = 100 * common >= percent * (size[:, None] + size - common)
+                linked = np.zeros(common.shape, bool)
+                for r in range(0, b - a, 256):  # bounded memory
+                    linked[r : r + 256] = 100 * common[r : r + 256] >= percent * (size[r : r + 256, None] + size - common[r : r + 256])
                 np.fill_diagonal(linked, True)
                 label = _components(linked)
                 far = np.flatnonzero(label != np.arange(b - a))
