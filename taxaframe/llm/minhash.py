@@ -270,6 +270,7 @@ def near_duplicates(
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([s.tobytes() for s in got], pa.binary())], names=["k", "set"])
 
     texts = own.join(wanted.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi").select("t")
+    texts = texts.unionAll(own.filter("doc_id IS NULL").select("t"))  # classes of null ids alone may still link others
     full = texts.mapInArrow(sets, "k long, set binary").join(wanted.select("k"), "k", "left_semi").dropDuplicates(["k"])
     links = sorted_by(clusters.join(full, "k").select("cluster", "k", "set"), "cluster").mapInArrow(_confirm(percent), "a long, b long")
 

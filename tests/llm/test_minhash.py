@@ -55,6 +55,15 @@ def test_components_against_all_pairs(spark):
     check(spark, texts, ids, 80, leaf=4, depth=2)
 
 
+def test_a_text_without_id_links_others(spark):
+    ws = [f"w{i}" for i in range(300)]
+    middle, right = [*ws[:-15], *[f"y{i}" for i in range(15)]], [*ws[:-30], *[f"y{i}" for i in range(30)]]
+    left = [f"z{i}" if i < 25 else w for i, w in enumerate(middle)]
+    assert plain([" ".join(left), " ".join(right)], [1, 2], 80) == [(1, 296, 1), (2, 296, 2)]
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(docs(spark, [" ".join(x) for x in (left, middle, right)], [1, None, 2])).collect()}
+    assert got[1]["component_id"] == got[2]["component_id"] == 1 and got[None]["component_id"] is None and got[None]["kept"]
+
+
 def test_keep_first(spark):
     texts = ["a b c d e f g", "a b c d e f g", "a b c d e f g h i j k", None, "", "z y x w v u", "z y x w v u"]
     frame = docs(spark, texts, [5, 2, 3, 4, None, 9, 9])
