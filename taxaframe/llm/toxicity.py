@@ -115,8 +115,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
         rows = rows.filter(train)
     chosen = rows.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample_docs)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    # at most sample_docs rows of two numbers: a proven bound
-    data = texts.join(F.broadcast(chosen), "id").select("y", "t").mapInArrow(_featurize, "y int, sizes binary, features binary")
+    # at most sample_docs rows of two numbers: a proven bound; of the texts of a repeated id one is used
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("y").alias("y"), F.min("t").alias("t"))
+    data = found.select("y", "t").mapInArrow(_featurize, "y int, sizes binary, features binary")
     bags = [(r["y"], np.frombuffer(r["sizes"], "<i4"), np.frombuffer(r["features"], "<i4")) for r in data.toLocalIterator()]
     return train_noisy_or(bags)
 

@@ -66,6 +66,10 @@ def test_toxicity_learns_from_document_labels(spark):
     model = toxicity.fit_toxicity(frame, marks, train=F.col("id") % 3 != 0)
     got = {r["doc_id"]: r for r in toxicity.score_toxicity(frame, model).collect()}
     assert len(got) == len(texts) + 10 and got[600]["score"] == got[601]["score"] == 0
+    # an id that repeats does not add to the sample
+    again = frame.unionAll(frame.filter("doc_id = 4")).unionAll(frame.filter("doc_id = 4"))
+    same = toxicity.fit_toxicity(again, marks, train=F.col("id") % 3 != 0)
+    assert np.count_nonzero(same[0]) == np.count_nonzero(model[0])
     held = [i for i in range(600) if i % 3 == 0]
     assert sum((got[i]["score"] >= 0.3) == bool(labels[i]) for i in held) >= 0.95 * len(held)
     for i in held:
