@@ -6,10 +6,12 @@ never materialised except where the output *is* a matrix (heat map, distances).
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaframe.functions.lineage import deepest_label, finite_or_zero, has_pipe
+from taxaframe.operators.pairs import TILE, pair_sums
 
 OTHER = "Other"
 
@@ -124,43 +126,19 @@ def cluster_flags(long: DataFrame) -> DataFrame:
     )
 
 
-def sample_distance(long: DataFrame, samples: list[str] | None = None) -> DataFrame:
-    """Euclidean distance between sample vectors (input of column clustering).
+def sample_distance(long: DataFrame, tile: int = TILE) -> DataFrame:
+    """Euclidean distance between sample vectors (input of column clustering), absent = 0.
 
-    d(a,b)^2 = |a|^2 + |b|^2 - 2 a.b. The Gram matrix a.b is a block product:
-    taxa rows are pivoted to dense sample vectors, each task multiplies its block
-    (NumPy, Arrow batches) and emits one partial S x S triangle, which a final
-    aggregation sums. No pair of rows is ever formed per taxon.
+    Squared differences are added up over tiles of samples (``pairs.py``), so near-equal
+    samples lose no digits. Output (sample_a, sample_b, distance), a < b by name.
     """
-    import numpy as np
-    import pandas as pd
+    cells = long.groupBy("tax_id", "sample").agg(F.sum("abundance").alias("v"))
 
-    if samples is None:
-        samples = sorted(r[0] for r in long.select("sample").distinct().collect())
-    idx = list(samples)
-    wide = long.groupBy("tax_id").pivot("sample", idx).agg(F.sum("abundance")).na.fill(0.0, subset=idx)
-    cols = [F.col(f"`{s}`").cast("double").alias(f"c{i}") for i, s in enumerate(idx)]
-    dense = wide.select(*cols)
-    k = len(idx)
-
-    def gram(batches):
-        acc = np.zeros((k, k))
-        for pdf in batches:
-            x = pdf.to_numpy(dtype="float64")
-            acc += x.T @ x
-        a, b = np.triu_indices(k)
-        yield pd.DataFrame({"a": a.astype("int64"), "b": b.astype("int64"), "dot": acc[a, b]})
-
-    partial = dense.mapInPandas(gram, "a bigint, b bigint, dot double")
-    g = partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"))
-    names = long.sparkSession.createDataFrame([(i, s) for i, s in enumerate(idx)], "i bigint, sample string")
-    diag = g.filter(F.col("a") == F.col("b")).select(F.col("a").alias("i"), F.col("dot").alias("sq"))
-    pairs = (
-        g.filter(F.col("a") < F.col("b"))
-        .join(diag.withColumnRenamed("i", "a").withColumnRenamed("sq", "sq_a"), "a")
-        .join(diag.withColumnRenamed("i", "b").withColumnRenamed("sq", "sq_b"), "b")
-        .join(names.withColumnRenamed("i", "a").withColumnRenamed("sample", "sample_a"), "a")
-        .join(names.withColumnRenamed("i", "b").withColumnRenamed("sample", "sample_b"), "b")
-    )
-    d2 = F.greatest(F.col("sq_a") + F.col("sq_b") - 2 * F.col("dot"), F.lit(0.0))
-    return pairs.select("sample_a", "sample_b", F.sqrt(d2).alias("distance"))
+    def squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = np.repeat((x**2).sum(0)[:, None], y.shape[1], 1)  # right where y is all 0
+        for j in np.flatnonzero(y.any(0)):
+            out[:, j] = ((x - y[:, j, None]) ** 2).sum(0)
+        return out
+
+    total = pair_sums(cells, ["tax_id"], [], "v", {"squares": squares}, fill=0, absent=True, tile=tile)
+    return total.select("sample_a", "sample_b", F.sqrt("squares").alias("distance"))

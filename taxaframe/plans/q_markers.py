@@ -186,3 +186,18 @@ SELECT a.clade, a.sample AS sample_a, b.sample AS sample_b, count(*) AS common,
 FROM c a JOIN c b ON a.marker_id = b.marker_id AND a.position = b.position AND a.sample < b.sample GROUP BY 1, 2, 3""")
 def q_mutation_rates(fx):
     return ST.mutation_rates(_cons(fx), fx.marker)
+
+
+@query("retained_mutation_rates", f"""
+WITH {CONS},
+ t AS (SELECT clade, count(*) AS total FROM fx_marker GROUP BY 1),
+ x AS (SELECT c.*, m.clade FROM cons c JOIN fx_marker m ON m.marker_id = c.marker_id),
+ r AS (SELECT clade, sample FROM x JOIN t USING (clade) GROUP BY clade, sample, total HAVING count(DISTINCT marker_id) >= 10 AND count(DISTINCT marker_id) * 100.0::DOUBLE / total >= 10),
+ c AS (SELECT x.* FROM x JOIN r ON r.clade = x.clade AND r.sample = x.sample)
+SELECT a.clade, a.sample AS sample_a, b.sample AS sample_b, count(*) AS common,
+  CAST(sum(CASE WHEN a.base <> b.base THEN 1 ELSE 0 END) AS BIGINT) AS differing,
+  round(sum(CASE WHEN a.base <> b.base THEN 1 ELSE 0 END) / count(*), 9) AS rate
+FROM c a JOIN c b ON a.marker_id = b.marker_id AND a.position = b.position AND a.sample < b.sample GROUP BY 1, 2, 3""")
+def q_retained_mutation_rates(fx):
+    cons = _cons(fx)
+    return ST.mutation_rates(cons, fx.marker, keep=ST.retained(cons, fx.marker, 10, 10.0))
