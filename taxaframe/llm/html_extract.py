@@ -327,9 +327,11 @@ def _variants(pages: list[str], draw: random.Random) -> Iterator[str]:
 def fit_extractor(pages: DataFrame, sample_pages: int = 150, id_col: str = "page_id", html_col: str = "html") -> Boosted:
     """An ensemble fitted on at most ``sample_pages`` pages that hold an article or main element."""
     marked = pages.filter(F.col(html_col).rlike(r"(?i)<(article|main)\b") & (F.length(html_col) <= 60_000))
-    order = [F.xxhash64(F.col(id_col)), F.xxhash64(F.col(html_col))]
-    chosen = marked.select(F.col(html_col).alias("h"), *[o.alias(f"o{i}") for i, o in enumerate(order)]).orderBy("o0", "o1").limit(sample_pages)
-    sample = [r["h"] for r in chosen.select("h").collect()] or list(_EXAMPLES)
+    marked = marked.select(F.col(html_col).alias("h"), F.xxhash64(F.col(id_col)).alias("o0"), F.xxhash64(F.col(html_col)).alias("o1"))
+    # only hashes are ordered; the pages of the chosen ones follow, a repeated page once
+    chosen = marked.select("o0", "o1").distinct().orderBy("o0", "o1").limit(sample_pages)
+    pages_of = marked.join(F.broadcast(chosen), ["o0", "o1"]).dropDuplicates(["o0", "o1"])
+    sample = [r["h"] for r in sorted(pages_of.collect(), key=lambda r: (r["o0"], r["o1"]))] or list(_EXAMPLES)
     xs, ys = [], []
     for page in _variants(sample, random.Random(5)):
         _, nodes = parse(page)
