@@ -81,7 +81,7 @@ class Pieces:
                     hits[number].add(p - at)
         for number, diagonals in hits.items():
             item_id, own, budget = self.items[number]
-            reach = -1
+            reach = -budget - 1  # a passage at the start of a document can have lost up to budget words before its piece
             for diagonal in sorted(diagonals):
                 if diagonal <= reach:  # within the window that has been verified
                     continue

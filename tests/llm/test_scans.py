@@ -113,3 +113,21 @@ def test_decontamination_against_brute_force(spark):
     assert kept == set(range(len(texts))) - {i for i, _ in want}
     assert decontam.match_benchmark(docs(spark, []), frame).count() == 0
     assert decontam.match_benchmark(docs(spark, texts), frame.limit(0)).count() == 0
+
+
+def test_items_that_lost_words_at_the_start_of_a_document(spark):
+    draw = random.Random(10)
+    items = [words(draw, 30, 10_000), words(draw, 17, 10_000)]
+    texts, lost = [], []
+    for item in items:
+        own = item.split()
+        budget = max(0, min(int(0.2 * len(own)), len(own) // 3 - 1))
+        for n in range(budget + 3):
+            for after in ("", " " + words(draw, 40)):
+                texts.append(" ".join(own[n:]) + after)
+                lost.append((n, budget))
+    frame = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontam.match_benchmark(docs(spark, texts), frame).collect()}
+    assert {i: r["distance"] for i, r in got.items()} == {i: n for i, (n, budget) in enumerate(lost) if n <= budget}
+    assert all(r["start"] == 0 for r in got.values())
+    assert {r["doc_id"] for r in decontam.drop_contaminated(docs(spark, texts), frame).collect()} == set(range(len(texts))) - set(got)
