@@ -8,6 +8,9 @@ specific to it and looks live.
 Spans come from splitting a text at a pattern and summing the lengths of the parts, so they
 are code points and leftmost non-overlapping. Only texts with a match take part in a shuffle.
 
+A private key is its whole block and its value the body without line layout, so every key has a
+hash of its own; a header without a body is no secret.
+
 Null text counts as empty and has no span; null owners or repositories count as one unknown
 value; repeated rows are scanned each; an empty table gives no rows. Other columns are ignored.
 """
@@ -29,6 +32,7 @@ class Kind:
     value_group: int = 0  # the secret part
     least: int = 1  # matches with a shorter secret part are dropped
     hint: str | None = None  # a cheap pattern that every match contains
+    fold: str | None = None  # left out of the secret part: layout that differs between copies of a value
 
 
 BASE = (
@@ -36,13 +40,18 @@ BASE = (
     Kind("access", r"AKIA[A-Z0-9]+", 0, 16),
     Kind("hex", r"[0-9a-f]{32,}", 0, 32),
 )
+#: A private key: what stands before its END line; without one, the run of base64 after the header.
+_KEY = r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+_KEY_END = r"-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+_KEY_BODY = rf"[^-]*+(?:-(?!----)[^-]*+)*+(?={_KEY_END})"
+_KEY_LINES = r"""(?:(?:\\[nrt]|[\s"'+,>#*])*+(?:(?:Proc-Type|DEK-Info|Version|Comment):[^\n\\]*+|[A-Za-z0-9/+]{16,}+={0,2}))*+(?:(?:\\[nrt]|\s)*+[A-Za-z0-9/+]++(?:={1,2}|\z))?+"""
 #: Kinds that the ownership method adds to the base ones.
 MORE = (
     Kind("bearer", r"(?i)bearer\x20+([A-Za-z0-9+/_.=-]{20,})", 1, 20),
-    Kind("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D/:@]{1,64}:([^\x20\x09-\x0D/:@]{6,64})@", 1, 6),
+    Kind("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D/:@]++:([^\x20\x09-\x0D/:@]{6,}+)@", 1, 6),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 20),
     Kind("prefixed", r"(?:gh[pousr]_|sk_live_|xox[abprs]-)[A-Za-z0-9-]{16,}", 0, 20),
-    Kind("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 20),
+    Kind("private_key", f"{_KEY}({_KEY_BODY}|{_KEY_LINES})(?:{_KEY_END})?+", 1, 1, fold=r"""\\[nrt]|[\s"',]"""),
 )
 
 
@@ -50,6 +59,8 @@ def _found(text: Column, kind: Kind) -> Column:
     """Array of (before, length, value): gap before each match, the match and its secret part."""
     whole = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.value_group)) if kind.value_group else whole
+    if kind.fold:
+        value = F.transform(value, lambda v: F.regexp_replace(v, kind.fold, ""))
     gaps = F.split(text, kind.pattern, -1)
     return F.transform(
         F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value")),

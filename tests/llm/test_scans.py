@@ -72,6 +72,28 @@ def test_ownership_separates_examples_from_live(spark):
     assert out[9] == "[secret] and password=examplevalue1" and out[0] == texts[0] and len(out) == 20
 
 
+def test_private_keys_and_long_passwords_are_values_of_their_own(spark):
+    draw = random.Random(12)
+    key = lambda n=4: "\n".join("".join(draw.choices("ABCxyz0189+/", k=64)) for _ in range(n)) + "\n" + "".join(draw.choices("ABCxyz0189", k=22)) + "=="
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    shared, one, two, open_end, long = key(), key(), key(), key(), "p" * 30 + "w!" * 60
+    block = lambda body: f"{head}\n{body}\n{tail}"
+    texts = [block(shared), block(shared).replace("\n", "\r\n"), "a = '" + block(shared).replace("\n", "\\n") + "'"]  # a copied example in three sources
+    texts += [f"mine: {block(one)} end.", f"x {block(two)}", f"{head}\n{open_end}\nThe text goes on here.", f"{head} is only a header", f"postgres://{'u' * 70}:{long}@host/db"]
+    texts += [f"{head}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n{two}\n{tail} {block(one)}", f"{head}\n{two[:150]}", "-----BEGIN " * 3000 + "- " * 100_000]
+    found = secrets.find_secrets(docs(spark, texts), owner=F.col("source"), repository=F.col("lang")).filter("ok AND kind IN ('private_key', 'url_login')").collect()
+    by = {}
+    for r in found:
+        by.setdefault(r["doc_id"], []).append((r["class"], texts[r["doc_id"]][r["start"] : r["end"]], r["value_hash"]))
+    assert [by[i][0][0] for i in range(3)] == ["example"] * 3 and len({by[i][0][2] for i in range(3)}) == 1
+    assert by[3] == [("live", block(one), hashlib.sha256(one.replace("\n", "").encode()).hexdigest())]
+    assert [x[:2] for x in by[4]] == [("live", block(two))] and [x[:2] for x in by[5]] == [("live", f"{head}\n{open_end}")]
+    assert 6 not in by and [x[0] for x in by[7]] == ["live"] and len(by[8]) == 2 and len(by[9]) == 1 and 10 not in by
+    out = {r["doc_id"]: r["text"] for r in secrets.redact(docs(spark, texts), owner=F.col("source"), repository=F.col("lang")).collect()}
+    assert out[0] == texts[0] and out[3] == "mine: [secret] end." and out[4] == "x [secret]" and out[5] == "[secret]\nThe text goes on here."
+    assert out[7] == "[secret]host/db" and out[8] == "[secret] [secret]" and out[9] == "[secret]" and out[6] == texts[6]
+
+
 def plain_distance(p, t):
     row = [0] * (len(t) + 1)
     for i, x in enumerate(p):
