@@ -9,6 +9,9 @@ own task group, so no cell is capped. A block scores its queries against its
 vectors exactly (double precision, original vectors) and sends the best ``k`` per query;
 the candidates of all tables and blocks are merged by query.
 
+A query that gets fewer than ``k`` rows this way although its length has more is scored exactly
+against all entries of its length, in blocks of ``block`` queries by ``block`` entries.
+
 Equal vectors are one entry (with their smallest ids), so copies of a vector fill no cell.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do null
@@ -153,8 +156,8 @@ def nearest_neighbours(
     # -0.0 and 0.0 are equal components
     good = good.withColumn("vec", F.transform("vec", lambda x: x + F.lit(0.0))).withColumn("v", F.xxhash64("vec"))
     ids = good.groupBy("v", "id").agg(F.max(F.coalesce("is_query", F.lit(False))).alias("is_query"))
-    ranked = ids.groupBy("v").agg(F.min("id").alias("least"), F.max("is_query").alias("is_query"))
-    entries = stored(good.select("v", "vec").dropDuplicates(["v"]).join(ranked, "v"), "entries")
+    ranked = ids.groupBy("v").agg(F.min("id").alias("least"), F.max("is_query").alias("is_query"), F.count("*").alias("n"))
+    entries = stored(good.select("v", "vec").dropDuplicates(["v"]).join(ranked, "v").withColumn("dim", F.size("vec")), "entries")
     members = stored(ids, "members")
     cells = stored(entries.select("v", "vec").mapInArrow(_cells(tables, hashes, width, 0), "v long, cell long"), "cells")
     probe = entries.filter("is_query").select("v", "vec").mapInArrow(_cells(tables, hashes, width, probes), "v long, cell long")
@@ -168,14 +171,32 @@ def nearest_neighbours(
     asked = asked.join(sizes, "g").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(entries.select("v", "vec"), "v")
     pairs = asked.select("g", "part", "v", "cells", "vec").groupBy("g", "part").cogroup(index.select("g", "part", "v", "cell", "vec").groupBy("g", "part"))
     found = pairs.applyInArrow(_rank(k), "q long, v long, score double")
-    # merged candidates: distinct entries of each query, then their rows
-    merged = found.groupBy("q", "v").agg(F.max("score").alias("score"))
-    best = merged.join(ranked, merged["v"] == ranked["v"]).select("q", merged["v"], "score", "least")
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "least")
-    near = best.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k + 1).select("q", "v", "score")
     # row_number() <= n is cut before the shuffle, so an entry with very many ids costs k + 1 a task
     smallest = members.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).filter(F.col("r") <= k + 1).select("v", "id")
-    merged_ids = near.join(smallest, "v").withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).filter(F.col("r") <= k + 1)
+
+    def nearest_ids(found: DataFrame) -> DataFrame:
+        """The k + 1 best rows of each query entry: its distinct entries merged, then their ids."""
+        merged = found.groupBy("q", "v").agg(F.max("score").alias("score"))
+        best = merged.join(entries.select("v", "least"), "v").select("q", "v", "score", "least")
+        order = Window.partitionBy("q").orderBy(F.desc("score"), "least")
+        near = best.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k + 1).select("q", "v", "score")
+        rows = near.join(smallest, "v").withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id")))
+        return rows.filter(F.col("r") <= k + 1).select("q", "id", "score")
+
+    probed = stored(nearest_ids(found), "probed")
+    # entries whose cells held too few: k + 1 rows, as an entry finds itself, or all of its length
+    dims = entries.groupBy("dim").agg(F.sum("n").alias("ids"), F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    held = probed.groupBy(F.col("q").alias("v")).agg(F.count("*").alias("held"))
+    few = entries.filter("is_query").select("v", "dim").join(held, "v", "left").join(dims, "dim").filter(F.coalesce("held", F.lit(0)) < F.least(F.lit(k + 1), "ids"))
+    few = stored(few.select("v", "dim", "blocks"), "few")
+    parts = few.groupBy("dim", "blocks").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = few.join(parts, ["dim", "blocks"]).withColumn("part", F.pmod("v", F.col("parts")).cast("int")).withColumn("g", all_of("blocks"))
+    asked = asked.withColumn("cells", F.array(F.lit(0).cast("long"))).join(entries.select("v", "vec"), "v").select("dim", "g", "part", "v", "cells", "vec")
+    index = entries.join(parts, "dim").withColumn("g", F.pmod("v", F.col("blocks")).cast("int")).withColumn("part", all_of("parts"))
+    index = index.withColumn("cell", F.lit(0).cast("long")).select("dim", "g", "part", "v", "cell", F.col("vec").alias("vec"))
+    exact = asked.groupBy("dim", "g", "part").cogroup(index.groupBy("dim", "g", "part")).applyInArrow(_rank(k), "q long, v long, score double")
+    merged_ids = probed.join(few.select(F.col("v").alias("q")), "q", "left_anti").unionByName(nearest_ids(exact))
     asked_ids = members.filter("is_query").select(F.col("id").alias("query_id"), F.col("v").alias("q"))
     pairs = merged_ids.select("q", "id", "score").join(asked_ids, "q").filter("id != query_id")
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")

@@ -103,3 +103,20 @@ def test_neighbours_against_brute_force(spark):
     assert hits >= 0.9 * 14 * 5 and {r["query_id"] for r in got} == set(range(0, 700, 50))
     assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == 300), key=lambda r: r["rank"])] == [7, 301, 302, 303, 304]
     assert ann.nearest_neighbours(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_every_query_gets_its_k_nearest_or_all(spark):
+    draw = np.random.default_rng(5)
+    centre = draw.normal(size=16)
+    rows = [(i, (centre + 0.02 * draw.normal(size=16)).tolist()) for i in range(150)] + [(500, (-centre).tolist())]  # an outlier opposite to the cluster
+    rows += [(600 + i, draw.normal(size=24).tolist()) for i in range(4)]  # a length of four vectors, and one of a single one
+    rows += [(700, [1.0, 2.0]), (800, draw.normal(size=9).tolist()), (801, draw.normal(size=9).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest_neighbours(frame, F.col("vec_id") >= 500, k=5, block=32).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], round(r["score"], 9)))
+    for q, vec in rows[150:]:
+        x = np.array(vec)
+        near = sorted((-round(float(x @ np.array(y) / np.linalg.norm(x) / np.linalg.norm(y)), 9), i) for i, y in rows if i != q and len(y) == len(vec))[:5]
+        assert got.get(q, []) == [(n + 1, i, -s) for n, (s, i) in enumerate(near)]
+    assert [len(got.get(q, [])) for q in (500, 600, 700, 800)] == [5, 3, 0, 1]
