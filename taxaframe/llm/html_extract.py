@@ -33,11 +33,14 @@ from pyspark.sql import functions as F
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTR = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style textarea noscript template title svg math iframe select object".split())
+_RAW = set("script style textarea title iframe".split())
+#: No main text where closed by their own tag; one that never closes takes nothing with it.
+_REJECTED = set("noscript select svg template".split())
+_FOREIGN = set("math svg".split())
 _BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 _CLOSES_P = _BLOCK - set("body head html option td th tr tbody thead tfoot caption legend".split())
 #: A paragraph outside these is not closed by a block inside them.
-_HOLDS_P = set("article aside blockquote body dd details div figure footer form header li main nav section table td th".split())
+_HOLDS_P = set("article aside blockquote body dd details div figure footer form header li main nav section table td th noscript object select svg template".split())
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 _NEGATIVE = re.compile(r"(?:^|[^a-z])(?:ad|ads|advert\w*|banner|breadcrumb\w*|comment\w*|cookie\w*|copyright|disclaimer|discussion|dialog|footer|foot|form|header|login|masthead|menu\w*|meta|modal|nav\w*|newsletter|notice\w*|alert|pager|pagination|popup|promo\w*|recommend\w*|related|repl(?:y|ies)|respond|share|sharing|side|sidebar\w*|signup|social|sponsor\w*|subscribe\w*|tags|toolbar|widget\w*|complementary|contentinfo|search)(?:$|[^a-z])", re.I)
@@ -47,12 +50,16 @@ _TAG_NUMBER = {t: i + 1 for i, t in enumerate(_TAGS)}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "attrs", "text", "chars", "links", "tags", "order", "neg", "pos")
+    __slots__ = ("tag", "parent", "kids", "attrs", "text", "chars", "links", "tags", "order", "neg", "pos", "within", "gone", "pieces", "border")
 
     def __init__(self, tag: str, parent: "Node | None", attrs: str = "", order: int = 0):
         self.tag, self.parent, self.attrs, self.order = tag, parent, attrs, order
         self.kids: list[Node] = []
         self.text, self.chars, self.links, self.tags = "", 0, 0, 0
+        self.within: Node | None = None  # the innermost open element of _REJECTED
+        self.gone = False  # of _REJECTED and closed
+        self.pieces: list[tuple] = []  # of a run after the first such element
+        self.border = 0  # number of its end among the ends of runs
         names = " ".join(filter(None, (x for m in _ATTR.findall(attrs) for x in m))) if attrs else ""
         self.neg = len(_NEGATIVE.findall(names)) if names else 0
         self.pos = len(_POSITIVE.findall(names)) if names else 0
@@ -62,38 +69,44 @@ def parse(html: str) -> tuple[Node, list[Node]]:
     """(root, all block elements and text runs in page order)."""
     root = Node("html", None)
     nodes, stack = [root], [root]  # open elements, inline ones too
-    buffer: list[str] = []
-    link_chars = 0
+    buffer: list[tuple[str, int, Node | None]] = []  # text, its characters in links, the element of _REJECTED around it
+    rejected: list[Node] = []
+    borders: list[Node | None] = []  # ends of runs: the element of _REJECTED around each
+    within: Node | None = None
     n_links = 0
 
     def block() -> Node:
         return next(n for n in reversed(stack) if n.tag in _BLOCK)
 
+    def fill(run: Node, pieces: list[tuple]):
+        run.text = " ".join("".join(p[0] for p in pieces).split())
+        run.chars = len(run.text)
+        run.links = min(sum(p[1] for p in pieces), run.chars)
+
     def flush():
-        nonlocal link_chars
-        text = " ".join("".join(buffer).split())
-        if text:
+        if not all(p[0].isspace() or not p[0] for p in buffer):
             run = Node("text", block(), order=len(nodes))
-            run.text, run.chars, run.links = text, len(text), min(link_chars, len(text))
+            fill(run, buffer)
+            if rejected:
+                run.pieces, run.border = list(buffer), len(borders)
             run.parent.kids.append(run)
             nodes.append(run)
         buffer.clear()
-        link_chars = 0
+        borders.append(within)
 
     def add(text: str):
-        nonlocal link_chars
         if text:
             text = _html.unescape(text)
-            buffer.append(text)
-            if n_links:
-                link_chars += len(text.strip())
+            buffer.append((text, len(text.strip()) if n_links else 0, within))
 
     def pop_to(at: int):
-        nonlocal n_links
+        nonlocal n_links, within
         if any(n.tag in _BLOCK for n in stack[at:]):
             flush()
         n_links -= sum(n.tag == "a" for n in stack[at:])
         del stack[at:]
+        if within:
+            within = next((n for n in reversed(stack) if n.tag in _REJECTED), None)
 
     at, lower = 0, None
     while m := _TOKEN.search(html, at):
@@ -106,23 +119,25 @@ def parse(html: str) -> tuple[Node, list[Node]]:
         if closing:
             found = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if found:
+                stack[found].gone = tag in _REJECTED
                 pop_to(found)
             elif tag in _BLOCK:
                 flush()
             continue
-        if tag in _RAW:
+        foreign = (tag in _RAW or attrs.endswith("/")) and any(n.tag in _FOREIGN for n in stack)
+        if tag in _RAW and not (foreign and tag == "title"):
             if not attrs.endswith("/"):
                 lower = html.lower() if lower is None or len(lower) != len(html) else lower
                 end = lower.find(f"</{tag}", at)
                 at = len(html) if end < 0 else end
             continue
-        if tag == "html":
+        if tag == "html" or attrs.endswith("/") and (foreign or tag in _REJECTED or tag in _FOREIGN or tag == "object"):
             continue
         if tag in _VOID:
             if tag == "hr":
                 flush()
             elif tag == "br":
-                buffer.append(" ")
+                buffer.append((" ", 0, within))
             continue
         if tag in _CLOSES_P:
             p = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag in _HOLDS_P), 0)
@@ -139,17 +154,43 @@ def parse(html: str) -> tuple[Node, list[Node]]:
             flush()
             parent = block()
             node = Node(tag, parent, attrs, len(nodes))
+            node.within = within
             parent.kids.append(node)
             nodes.append(node)
             stack.append(node)
         else:
             stack.append(Node(tag, stack[-1]))
+            if tag in _REJECTED:
+                stack[-1].within, within = within, stack[-1]
+                rejected.append(within)
             n_links += tag == "a"
             if len(stack) > 400:  # inline tags that never close: forget the oldest of the run
-                stack[:] = [n for n in stack if n.tag in _BLOCK] or [root]
+                stack[:] = [n for n in stack if n.tag in _BLOCK or n.tag in _REJECTED]
                 n_links = 0
     add(html[at:])
     flush()
+    for n in rejected:
+        n.gone = n.gone or n.within is not None and n.within.gone
+    if any(n.gone for n in rejected):
+        left = lambda n: n is None or not n.gone
+        stays = lambda n: left(n.within) and (n.tag != "text" or bool(n.text))
+        for n in nodes:
+            if n.pieces:
+                n.pieces = [p for p in n.pieces if left(p[2])]
+                fill(n, n.pieces)
+        for n in nodes:
+            kids: list[Node] = []
+            for k in filter(stays, n.kids):
+                last = kids[-1] if kids else k
+                # runs that only a dropped element parts are one
+                if last is not k and last.pieces and k.pieces and not any(map(left, borders[last.border : k.border])):
+                    last.pieces, last.border = last.pieces + k.pieces, k.border
+                    fill(last, last.pieces)
+                    fill(k, [])
+                else:
+                    kids.append(k)
+            n.kids = kids
+        nodes = [n for n in nodes if stays(n)]
     for node in reversed(nodes):
         if node.parent:
             node.parent.chars += node.chars

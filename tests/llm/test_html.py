@@ -42,6 +42,27 @@ def test_parser():
     assert texts("a < b <p>c") == ["a < b", "c"]
 
 
+def test_elements_that_are_no_raw_text(spark, fitted):
+    texts = lambda h: [n.text for n in H.parse(h)[1] if n.text]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></math> holds</p><p><object data=a><b>a picture</b></object> of it") == ["so x=2 holds", "a picture of it"]
+    for tag in ("svg", "select", "noscript", "template"):
+        assert texts(f"<p>one <{tag}><g/><p>no</p><title>no</title><{tag}>no</{tag}></{tag}> two</p><p>three<{tag}/> four") == ["one two", "three four"], tag
+        assert texts(f"<p>one <{tag}></p><p>two<p>three <{tag}>no</{tag}>four") == ["one", "two", "three four"], tag
+    assert texts("<p>a<svg><title>no</svg>b</p><p>c <object><p>d</p><p>e") == ["ab", "c", "d", "e"]
+    assert texts("<noscript><div><p>no</div></noscript><select><option>no<option>no</select><p>a") == ["a"] and len(H.parse("<noscript><p>no</p></noscript><p>a")[1]) == 3
+    pages = []
+    for open_tag in ('<object data="x.swf">', "<svg>", "<select>", "<noscript>", "<template>", "<math>"):
+        html, want = page(random.Random(7))
+        cut = html.index("</h1>") + 5
+        pages.append((html[:cut] + open_tag + html[cut:], want))
+    html, want = page(random.Random(8))
+    first = want.split("\n")[1]
+    pages.append((html.replace(f"<p>{first}", f"<p><math><mi>m</mi><mo>+</mo><mi>n</mi></math> {first}"), want.replace(first, f"m+n {first}", 1)))
+    frame = spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in H.extract_pages(frame, fitted).collect()}
+    assert [got[i] for i in range(len(pages))] == [want for _, want in pages]
+
+
 def test_decoding_has_no_contradiction():
     import numpy as np
 
