@@ -23,6 +23,7 @@ import html as _html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -206,6 +207,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     out = np.zeros((len(nodes), N_FEATURES), np.float32)
     total = max(1, nodes[0].chars)
     up: dict[int, tuple] = {}
+    tags: dict[int, Counter] = {}  # of the children of each node
     before = 0
     for i, n in enumerate(nodes):
         p = n.parent
@@ -213,7 +215,9 @@ def features(nodes: list[Node]) -> np.ndarray:
         up[n.order] = (depth + 1, neg + n.neg, pos + n.pos, article or n.tag in ("article", "main"), bad or n.tag in ("nav", "header", "footer", "aside", "form", "menu", "head", "dialog", "fieldset"), link)
         depth, neg, pos, article, bad, _ = up[n.order]
         sib = p.kids if p else [n]
-        same = sum(1 for s in sib if s.tag == n.tag) if len(sib) < 60 else len(sib)
+        if n.kids:
+            tags[n.order] = Counter(k.tag for k in n.kids)
+        same = tags[p.order][n.tag] if p else 1
         text = n.text
         words = text.count(" ") + 1 if text else 0
         out[i] = (

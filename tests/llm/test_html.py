@@ -63,6 +63,13 @@ def test_elements_that_are_no_raw_text(spark, fitted):
     assert [got[i] for i in range(len(pages))] == [want for _, want in pages]
 
 
+def test_siblings_of_the_same_tag_in_long_articles():
+    for n in (10, 58, 59, 60, 300):
+        nodes = H.parse("<article><h1>a</h1>" + "<p>b</p>" * n + "</article>")[1]
+        same = {x.tag: f[8] for x, f in zip(nodes, H.features(nodes))}
+        assert (same["h1"], same["p"], same["article"]) == (1, n, 1)
+
+
 def test_decoding_has_no_contradiction():
     import numpy as np
 
