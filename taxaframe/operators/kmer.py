@@ -1,21 +1,32 @@
 """k-mer joins: read classification against a taxonomy, host / spike-in removal,
 clade-count reports and species re-estimation.
 
-Read k-mers are packed 2-bit canonical BIGINTs produced by a vectorised Arrow
-kernel (one pass per batch, no per-k-mer string work); catalogues are packed
-once with ``conv``. Joins on 8-byte keys shuffle ~4x fewer bytes than 31-char
-strings, and AQE splits a hot k-mer's partition. Small catalogues (spike-ins)
-are broadcast by AQE once their measured size is under the threshold.
+Reads meet a catalogue as super-k-mers: an Arrow kernel packs canonical k-mers into 2-bit BIGINTs,
+groups the windows of a mate by minimiser, and emits one row per group, so the shuffle carries a
+row for about nine windows. Catalogue rows are keyed by the minimiser of their k-mer; rows that meet are
+verified k-mer by k-mer inside the join. Minimisers with large buckets are keyed by k-mer on
+both sides instead. A Bloom filter of the catalogue, built by aggregation, drops windows without a match
+in the scan of the reads. A hot minimiser is left to the adaptive skew join.
+
+The taxonomy is numbered once (:func:`index_tree`): a node's descendants have enter numbers within its
+(enter, leave) range, so ancestor tests are comparisons of integers.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType, StructField, StructType
 
+from taxaframe.functions.bloom import build_bloom
 from taxaframe.functions.kernels import canonical_kmers
-from taxaframe.operators.qc import mates
-from taxaframe.session import cut_lineage
+from taxaframe.functions.superkmer import Prefilter, catalogue_keys, super_kmers
 
 
 def pack_kmer(c) -> F.Column:
@@ -23,10 +34,15 @@ def pack_kmer(c) -> F.Column:
     return F.conv(F.translate(F.upper(c), "ACGT", "0123"), 4, 10).cast("bigint")
 
 
+def mate_sequences(reads: DataFrame, k: int) -> DataFrame:
+    """(sample, read_id, mate, seq) of mates with at least ``k`` bases; qualities are not read."""
+    pair = F.array(*[F.struct(F.lit(i).alias("mate"), F.col(f"seq{i}").alias("seq")) for i in (1, 2)])
+    return reads.select("sample", "read_id", F.explode(pair).alias("m")).select("sample", "read_id", "m.mate", "m.seq").filter(F.length("seq") >= k)
+
+
 def read_kmers(reads: DataFrame, k: int = 31) -> DataFrame:
     """(sample, read_id, mate, kmer BIGINT): every canonical k-mer without N, both mates."""
-    m = mates(reads, "reads").filter(F.length("seq") >= k)
-    return m.select("sample", "read_id", "mate", F.explode(canonical_kmers(k)(F.col("seq"))).alias("kmer"))
+    return mate_sequences(reads, k).select("sample", "read_id", "mate", F.explode(canonical_kmers(k)(F.col("seq"))).alias("kmer"))
 
 
 def catalogue(kmers: DataFrame, col: str = "kmer") -> DataFrame:
@@ -36,27 +52,57 @@ def catalogue(kmers: DataFrame, col: str = "kmer") -> DataFrame:
     return kmers
 
 
-def kmer_hits(reads: DataFrame, kmers: DataFrame, k: int = 31) -> DataFrame:
-    """(sample, read_id, taxid, hits): k-mers of a pair found in the catalogue, per taxon.
+@dataclass(frozen=True)
+class KmerIndex:
+    """A catalogue ready to be joined: (kmer, its other columns, key), and what the scan of the reads needs of it."""
+
+    table: DataFrame
+    prefilter: Broadcast
+    k: int
+    m: int
 
-    The join strategy is left to the optimiser and its size-checked broadcast threshold.
-    The per-read count is combined map-side before the join result is shuffled.
+
+def build_index(kmers: DataFrame, k: int = 31, m: int = 15, bloom: bool = True, max_bloom_bytes: int = 64 << 20, heavy_bucket: int = 256, max_heavy: int = 1 << 17) -> KmerIndex:
+    """Index of a catalogue with a ``kmer`` column and any others.
+
+    A minimiser with more than ``heavy_bucket`` catalogue rows is heavy; of these the ``max_heavy``
+    largest are listed (1 MB), any others keep their bucket. A filter larger than ``max_bloom_bytes`` is left out.
+    Neither changes a result.
     """
-    rk = read_kmers(reads, k).select("sample", "read_id", "kmer")
-    cat = catalogue(kmers).select("kmer", "taxid")
-    return rk.join(cat, "kmer").groupBy("sample", "read_id", "taxid").agg(F.count("*").alias("hits"))
+    if not 1 <= m <= k <= 31:
+        raise ValueError("need 1 <= m <= k <= 31")
+    cat = catalogue(kmers)
+    cat = cat.select("kmer", *[c for c in cat.columns if c != "kmer"]).filter(F.col("kmer").isNotNull())
+    fields = ", ".join(f"`{name}` {kind}" for name, kind in cat.dtypes) + ", key bigint"
+    sizes = cat.select("kmer").mapInArrow(catalogue_keys(k, m), "kmer bigint, key bigint").groupBy("key").count()
+    listed = sizes.filter(F.col("count") > heavy_bucket).orderBy(F.desc("count"), "key").limit(max_heavy).collect()
+    heavy = np.sort(np.array([r.key for r in listed], np.int64).view(np.uint64))
+    held = build_bloom(cat.select("kmer"), cat.count(), max_bytes=max_bloom_bytes) if bloom else None
+    prefilter = kmers.sparkSession.sparkContext.broadcast(Prefilter(heavy, held))
+    return KmerIndex(cat.mapInArrow(catalogue_keys(k, m, heavy), fields), prefilter, k, m)
+
 
+def match_kmers(reads: DataFrame, index: KmerIndex) -> DataFrame:
+    """(sample, read_id, mate, n, the catalogue's columns): per mate and catalogue row, how often its k-mer occurs in the mate."""
+    schema = "sample string, read_id string, mate int, key bigint, kmers array<bigint>, counts array<int>"
+    runs = mate_sequences(reads, index.k).mapInArrow(super_kmers(index.k, index.m, index.prefilter), schema)
+    met = runs.join(index.table.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & F.expr("array_contains(kmers, kmer)"))
+    n = F.coalesce(F.expr("counts[int(array_position(kmers, kmer)) - 1]"), F.lit(1)).cast("bigint")
+    return met.select("sample", "read_id", "mate", n.alias("n"), *[c for c in index.table.columns if c != "key"])
 
-# -- taxonomy closure --------------------------------------------------------------------
 
-def ancestors(tree: DataFrame, materialize: bool = True) -> DataFrame:
+def kmer_hits(reads: DataFrame, kmers: DataFrame | KmerIndex, k: int = 31) -> DataFrame:
+    """(sample, read_id, taxid, hits): k-mers of a pair found in the catalogue, per taxon."""
+    index = kmers if isinstance(kmers, KmerIndex) else build_index(kmers.select("kmer", "taxid"), k)
+    return match_kmers(reads, index).groupBy("sample", "read_id", "taxid").agg(F.sum("n").alias("hits"))
+
+
+# -- taxonomy ----------------------------------------------------------------------------
+
+def ancestors(tree: DataFrame) -> DataFrame:
     """(taxid, ancestor, depth): every node with itself and all its ancestors, with the
     ancestor's depth (root = 0). Recursive CTE over the edge table (taxid, parent; a root's parent is
     0 or itself), without a row limit; a longer cycle ends in the recursion level limit's error.
-
-    The closure is a dimension table (nodes x depth) used several times per job, so it
-    is checkpointed once to the shared checkpoint folder instead of re-running the
-    recursion at every use.
     """
     spark: SparkSession = tree.sparkSession
     edges = tree.select(F.col("taxid").cast("bigint").alias("taxid"), F.col("parent").cast("bigint").alias("parent"))
@@ -67,88 +113,122 @@ def ancestors(tree: DataFrame, materialize: bool = True) -> DataFrame:
         " SELECT taxid, ancestor, up FROM anc LIMIT ALL",
         e=edges,
     )
-    depth = anc.groupBy("taxid").agg((F.count("*") - 1).alias("depth"))
-    out = anc.join(depth.withColumnRenamed("taxid", "ancestor"), "ancestor").select("taxid", "ancestor", "depth")
-    return cut_lineage(out) if materialize else out
-
-
-def paths(closure: DataFrame) -> DataFrame:
-    """(taxid, path): ancestors of each node ordered root -> node (bounded by tree depth)."""
-    return closure.groupBy("taxid").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("depth", "ancestor"))), lambda e: e["ancestor"]).alias("path")
-    )
+    # levels of one node are numbered from its root, which is the ancestor farthest up
+    return anc.select("taxid", "ancestor", (F.max("up").over(Window.partitionBy("taxid")) - F.col("up")).cast("bigint").alias("depth"))
 
 
-def classify(hits: DataFrame, closure: DataFrame) -> DataFrame:
-    """Per read, the hit taxon with the highest root-to-taxon score (hits on it and its
-    ancestors); ties -> lowest common ancestor of the tied taxa. A hit taxon that the tree
-    lacks stands alone, as a root of its own. Output (sample, read_id, taxid).
+def index_tree(tree: DataFrame) -> DataFrame:
+    """(taxid, enter, leave, path) of every node: numbers of an Euler tour, and ``path``, the (enter, leave, node) of its
+    ancestors and itself from the root down.
 
-    One shuffle by read: each read's hit list (bounded by its k-mer count) is gathered
-    with every taxon's root path; scores and the LCA (longest common path prefix) are
-    then array expressions on that short list.
+    The tour visits children by taxid. A node's number is the sum, over its ancestors and itself, of one
+    plus the sizes of the earlier siblings' subtrees; it leaves after as many numbers as its subtree has nodes.
+    A parent that the table does not list is a root. Made once per taxonomy: store it for several uses.
     """
-    known = hits.join(paths(closure), "taxid", "left").withColumn("path", F.coalesce("path", F.array(F.col("taxid").cast("bigint"))))
-    per_read = known.groupBy("sample", "read_id").agg(
-        F.collect_list(F.struct("taxid", "hits", "path")).alias("h")
+    up = ancestors(tree)
+    size = up.groupBy(F.col("ancestor").alias("node")).agg(F.count("*").alias("own"), F.max("depth").alias("depth"))
+    # the parent is the path's last node but one
+    above = up.select(F.col("taxid").alias("_t"), F.col("ancestor").alias("parent"), (F.col("depth") + 1).alias("_d"))
+    listed = tree.select(F.col("taxid").cast("bigint").alias("node")).distinct().withColumn("listed", F.lit(1))
+    nodes = size.join(above, (F.col("node") == F.col("_t")) & (F.col("depth") == F.col("_d")), "left").join(listed, "node", "left")
+    # an unlisted parent is counted by its descendants, not by itself
+    nodes = nodes.select("node", F.coalesce("parent", F.lit(0)).alias("parent"), (F.col("own") + F.when(F.col("listed").isNull(), 1).otherwise(0)).alias("size"))
+    earlier = Window.partitionBy("parent").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    step = nodes.withColumn("step", 1 + F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+    both = up.unionByName(nodes.filter(F.col("parent") == 0).select(F.col("node").alias("taxid"), F.col("node").alias("ancestor"), F.lit(0).cast("bigint").alias("depth"))).distinct()
+    path = both.join(step, F.col("ancestor") == F.col("node")).groupBy("taxid").agg(F.array_sort(F.collect_list(F.struct("depth", "step", "size", "node"))).alias("p"))
+    # running sums of the steps are the numbers of the path's nodes (bounded by the tree's depth)
+    tour = F.transform("p", lambda e, i: F.aggregate(F.slice("p", 1, i + 1), F.lit(0).cast("bigint"), lambda a, x: a + x["step"]))
+    numbered = path.select("taxid", F.transform(F.arrays_zip("p", tour.alias("enter")), lambda z: F.struct(
+        z["enter"].alias("enter"), (z["enter"] + z["p"]["size"] - 1).alias("leave"), z["p"]["node"].alias("node"))).alias("path"))
+    last = F.element_at("path", -1)
+    return numbered.select("taxid", last["enter"].alias("enter"), last["leave"].alias("leave"), "path")
+
+
+@arrow_udf(StructType([StructField(c, LongType()) for c in ("taxid", "low", "high")]))
+def _best_taxa(hits: pa.Array) -> pa.Array:
+    """Of each read's (enter, leave, taxid, n): the taxon with the highest sum over itself and its
+    ancestors; where several have it, the first of them in the tour (``low``) and the enter number of the last (``high``)."""
+    flat = hits.flatten()
+    enter, leave, taxid, n = (np.asarray(flat.field(i)) for i in range(4))
+    size = np.asarray(hits.value_lengths().fill_null(0))
+    rows = len(size)
+    row = np.repeat(np.arange(rows), size)
+    best, low, high = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+    some, one = size > 0, np.zeros(rows, bool)
+    if len(row):
+        order = np.lexsort((enter, row))
+        enter, leave, taxid, n = enter[order], leave[order], taxid[order], n[order]
+        base = int(enter.min())
+        span = int(max(enter.max(), leave.max())) - base + 2
+        end = np.searchsorted(row * span + enter - base, row * span + leave - base, "right")
+        # a taxon's hits count for all later taxa up to its leave number
+        change = np.zeros(len(row) + 1, np.int64)
+        change[:-1] = n
+        np.subtract.at(change, end, n)
+        score = np.cumsum(change[:-1])
+        starts = (np.cumsum(size) - size)[some]
+        tied = np.flatnonzero(score == np.maximum.reduceat(score, starts)[np.cumsum(some)[row] - 1])
+        first, place, many = np.unique(row[tied], return_index=True, return_counts=True)
+        one[first] = many == 1
+        best[first], low[first], high[first] = taxid[tied[place]], taxid[tied[place]], enter[tied[place + many - 1]]
+    several = some & ~one
+    return pa.StructArray.from_arrays(
+        [pa.array(best, mask=~one), pa.array(low, mask=~several), pa.array(high, mask=~several)], names=["taxid", "low", "high"]
     )
-    scored = per_read.select(
-        "sample", "read_id",
-        F.transform(
-            "h",
-            lambda e: F.struct(
-                e["path"].alias("path"),
-                F.aggregate(
-                    F.filter(F.col("h"), lambda x: F.array_contains(e["path"], x["taxid"])),
-                    F.lit(0).cast("bigint"),
-                    lambda acc, x: acc + x["hits"],
-                ).alias("score"),
-            ),
-        ).alias("s"),
-    )
-    best = scored.withColumn("m", F.array_max(F.transform("s", lambda e: e["score"])))
-    tied = best.select("sample", "read_id", F.transform(F.filter("s", lambda e: e["score"] == F.col("m")), lambda e: e["path"]).alias("t"))
-
-    def common(acc, p):
-        same = F.zip_with(acc, p, lambda a, b: F.coalesce(a == b, F.lit(False)))
-        n = F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, F.size(same))
-        return F.slice(acc, 1, n)
 
-    prefix = F.aggregate(F.col("t"), F.element_at("t", 1), common)
-    return tied.select("sample", "read_id", F.try_element_at(prefix, F.lit(-1)).alias("taxid"))
-
-
-def classify_reads(reads: DataFrame, kmers: DataFrame, tree: DataFrame, k: int = 31, closure: DataFrame | None = None) -> DataFrame:
-    """Every pair with its taxon; 0 = unclassified (no k-mer hit)."""
-    closure = closure if closure is not None else ancestors(tree)
-    lca = classify(kmer_hits(reads, kmers, k), closure)
-    return reads.select("sample", "read_id").join(lca, ["sample", "read_id"], "left") \
-        .withColumn("taxid", F.coalesce(F.col("taxid"), F.lit(0).cast("bigint")))
 
+def classify(hits: DataFrame, index: DataFrame) -> DataFrame:
+    """Per read, the hit taxon with the highest root-to-taxon score (hits on it and its
+    ancestors); ties -> lowest common ancestor of the tied taxa, 0 if they have none. A hit taxon that the tree
+    lacks stands alone, as a root of its own. A row with null taxid is a read without hits: taxid 0.
+    Output (sample, read_id, taxid).
 
-def tree_report(assign: DataFrame, tree: DataFrame, closure: DataFrame | None = None) -> DataFrame:
+    One gathering by read: its hits (a row per taxon) with the taxa's numbers. Only tied reads look up a path.
+    """
+    numbers = index.select(F.col("taxid").alias("_t"), "enter", "leave")
+    known = hits.join(numbers, F.col("taxid") == F.col("_t"), "left")
+    # taxa outside the tree get numbers of their own below all others
+    own = -F.lit(1) - F.col("taxid").cast("bigint")
+    entry = F.struct(F.coalesce("enter", own).alias("enter"), F.coalesce("leave", own).alias("leave"), F.col("taxid").cast("bigint").alias("taxid"), F.col("hits").cast("bigint").alias("hits"))
+    per_read = known.groupBy("sample", "read_id").agg(F.collect_list(F.when(F.col("taxid").isNotNull(), entry)).alias("h"))
+    found = per_read.select("sample", "read_id", _best_taxa("h").alias("b")).select("sample", "read_id", "b.*")
+    # untied reads look up nothing; their keys are spread, as a shuffle would send all nulls to one task
+    look = F.coalesce("low", -F.lit(2) - F.pmod(F.xxhash64("read_id"), F.lit(1 << 20)))
+    paths = index.select(F.col("taxid").alias("_low"), "path")
+    joint = F.element_at(F.filter("path", lambda a: a["leave"] >= F.col("high")), -1)["node"]
+    tied = found.withColumn("_look", look).join(paths, F.col("_look") == F.col("_low"), "left")
+    joint = F.when(F.col("path").isNotNull() & F.exists("path", lambda a: a["leave"] >= F.col("high")), joint)
+    return tied.select("sample", "read_id", F.coalesce("taxid", joint, F.lit(0).cast("bigint")).alias("taxid"))
+
+
+def classify_reads(reads: DataFrame, kmers: DataFrame | KmerIndex, tree: DataFrame, k: int = 31) -> DataFrame:
+    """Every pair with its taxon; 0 = unclassified (no k-mer hit). ``tree`` is an edge table or its :func:`index_tree`."""
+    index = tree if "path" in tree.columns else index_tree(tree)
+    none = reads.select("sample", "read_id", F.lit(None).cast("bigint").alias("taxid"), F.lit(None).cast("bigint").alias("hits"))
+    hits = kmer_hits(reads, kmers, k).select("sample", "read_id", F.col("taxid").cast("bigint").alias("taxid"), "hits")
+    return classify(hits.unionByName(none), index)
+
+
+def tree_report(assign: DataFrame, tree: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Per sample and taxon: direct reads, clade reads (self + descendants), percent
     of all reads; taxid 0 is the unclassified row. Output
     (sample, taxid, rank, name, direct_reads, clade_reads, pct).
 
     Single pass over the assignments: direct counts are spread to every ancestor by
-    one join with the closure (unclassified reads have no ancestors and stay on 0);
-    the per-sample total is the root's clade plus the unclassified row, taken by a
+    the taxon's path (unclassified reads have no ancestors and stay on 0);
+    the per-sample total is the roots' clades plus the unclassified row, taken by a
     window over that sample's report rows (bounded by the taxa it contains).
     """
-    closure = closure if closure is not None else ancestors(tree)
+    index = index if index is not None else index_tree(tree)
     direct = assign.groupBy("sample", "taxid").agg(F.count("*").alias("n"))
-    spread = direct.join(closure, "taxid", "left").select(
-        "sample",
-        F.coalesce("ancestor", "taxid").alias("node"),
-        F.coalesce("depth", F.lit(-1)).alias("depth"),
-        "n",
-        (F.col("ancestor").isNull() | (F.col("ancestor") == F.col("taxid"))).alias("self"),
-    )
+    paths = index.select(F.col("taxid").alias("_t"), F.transform("path", lambda a: a["node"]).alias("path"))
+    line = F.coalesce("path", F.array(F.col("taxid").cast("bigint")))
+    spread = direct.join(paths, F.col("taxid") == F.col("_t"), "left").select("sample", "taxid", "n", F.posexplode(line).alias("depth", "node"))
     rows = spread.groupBy("sample", "node", "depth").agg(
-        F.sum("n").alias("clade_reads"), F.sum(F.when(F.col("self"), F.col("n")).otherwise(0)).alias("direct_reads")
+        F.sum("n").alias("clade_reads"), F.sum(F.when(F.col("node") == F.col("taxid"), F.col("n")).otherwise(0)).alias("direct_reads")
     )
-    total = F.sum(F.when(F.col("depth") <= 0, F.col("clade_reads")).otherwise(0)).over(Window.partitionBy("sample"))
+    total = F.sum(F.when(F.col("depth") == 0, F.col("clade_reads")).otherwise(0)).over(Window.partitionBy("sample"))
     names = tree.select(F.col("taxid").cast("bigint").alias("node"), "rank", "name")
     return rows.withColumn("_total", total).join(names, "node", "left").select(
         "sample", F.col("node").alias("taxid"),
@@ -169,50 +249,47 @@ def reestimate(report: DataFrame, distrib: DataFrame, level: str = "S", threshol
     new_est_j = N_j + sum_i r_i * w_ij / sum_j' w_ij'; fraction = new_est_j / sum new_est.
     Output (sample, species, kraken_assigned_reads, added_reads, new_est_reads, fraction).
 
-    The report (one row per sample and taxon) is read twice; it is materialised once
-    in the shared checkpoint folder, as the classification step's output table.
+    The report is read once: a species row and a node row both spread to the (node, species)
+    pairs of the distribution that name them, and meet there in one aggregation.
     """
-    report = cut_lineage(report)
-    sp = report.filter((F.col("rank") == level) & (F.col("clade_reads") >= threshold)).select(
-        "sample", F.col("taxid").alias("species"), F.col("clade_reads").alias("n_j")
+    self_p = F.max(F.when(F.col("node") == F.col("species"), F.col("p"))).over(Window.partitionBy("species"))
+    pairs = distrib.select(F.col("node").cast("bigint").alias("node"), F.col("species").cast("bigint").alias("species"), "p").withColumn("p_jj", self_p)
+    sides = F.explode(F.array(F.struct(F.col("species").alias("key"), F.lit(True).alias("as_species")), F.struct(F.col("node").alias("key"), F.lit(False).alias("as_species"))))
+    named = pairs.select("node", "species", "p", "p_jj", sides.alias("s")).select("node", "species", "p", "p_jj", "s.*").filter(F.col("as_species") | (F.col("node") != F.col("species")))
+    kept = (F.col("rank") == level) & (F.col("clade_reads") >= threshold)
+    shared = (F.col("rank") != level) & (F.col("taxid") != 0) & (F.col("direct_reads") > 0)
+    rows = report.filter(kept | shared).select(
+        "sample", "taxid", kept.alias("is_species"), F.when(kept, F.col("clade_reads")).alias("n_j"), F.when(~kept, F.col("direct_reads")).alias("r_i")
     )
-    self_p = distrib.filter(F.col("node") == F.col("species")).select("species", F.col("p").alias("p_jj"))
-    w = sp.join(self_p, "species").join(distrib.filter(F.col("node") != F.col("species")), "species") \
-        .select("sample", "species", "node", (F.col("p") * F.col("n_j") / F.col("p_jj")).alias("w"))
-    inner = report.filter((F.col("rank") != level) & (F.col("taxid") != 0) & (F.col("direct_reads") > 0)) \
-        .select("sample", F.col("taxid").alias("node"), F.col("direct_reads").alias("r_i"))
-    shares = w.join(inner, ["sample", "node"])
-    norm = shares.groupBy("sample", "node").agg(F.sum("w").alias("_ws"))
-    added = shares.join(norm, ["sample", "node"]).groupBy("sample", "species").agg(
-        F.sum(F.col("r_i") * F.col("w") / F.col("_ws")).alias("added_reads")
+    met = rows.join(named, (F.col("taxid") == F.col("key")) & (F.col("is_species") == F.col("as_species")), "left")
+    met = met.filter(F.col("is_species") | F.col("key").isNotNull())  # a species stays, whatever the distribution lists
+    pair = met.groupBy("sample", F.coalesce("species", "taxid").alias("species"), F.coalesce("node", "taxid").alias("node")).agg(
+        F.max("n_j").alias("n_j"), F.max("r_i").alias("r_i"), F.max("p").alias("p"), F.max("p_jj").alias("p_jj")
     )
-    est = sp.join(added, ["sample", "species"], "left").select(
-        "sample", "species", F.col("n_j").alias("kraken_assigned_reads"),
-        F.coalesce("added_reads", F.lit(0.0)).alias("added_reads"),
+    weight = F.when(F.col("node") != F.col("species"), F.when(F.col("r_i").isNotNull(), F.col("p") * F.col("n_j") / F.col("p_jj")))
+    share = pair.filter(F.col("n_j").isNotNull()).withColumn("w", weight).withColumn("ws", F.sum("w").over(Window.partitionBy("sample", "node")))
+    est = share.groupBy("sample", "species").agg(
+        F.max("n_j").alias("kraken_assigned_reads"), F.coalesce(F.sum(F.col("r_i") * F.col("w") / F.col("ws")), F.lit(0.0)).alias("added_reads")
     ).withColumn("new_est_reads", F.col("kraken_assigned_reads") + F.col("added_reads"))
-    tot = est.groupBy("sample").agg(F.sum("new_est_reads").alias("_t"))
-    return est.join(tot, "sample").withColumn("fraction", F.col("new_est_reads") / F.col("_t")).drop("_t")
+    return est.withColumn("fraction", F.col("new_est_reads") / F.sum("new_est_reads").over(Window.partitionBy("sample")))
 
 
 # -- removal -----------------------------------------------------------------------------
 
-def host_mates(reads: DataFrame, host_kmers: DataFrame, k: int = 31, min_hits: int = 5) -> DataFrame:
-    """(sample, read_id, mate) of mates with at least ``min_hits`` k-mers in the catalogue."""
-    cat = catalogue(host_kmers.select("kmer"))
-    hits = read_kmers(reads, k).join(cat, "kmer", "left_semi")
-    return hits.groupBy("sample", "read_id", "mate").agg(F.count("*").alias("n")).filter(F.col("n") >= min_hits) \
-        .select("sample", "read_id", "mate")
+def host_pairs(reads: DataFrame, host_kmers: DataFrame | KmerIndex, k: int = 31, min_hits: int = 5, mode: str = "both") -> DataFrame:
+    """(sample, read_id) of pairs of which both mates (``mode='both'``) or either one (``'any'``) has at least ``min_hits`` windows in the catalogue."""
+    if mode not in ("both", "any"):
+        raise ValueError("mode must be 'both' or 'any'")
+    index = host_kmers if isinstance(host_kmers, KmerIndex) else build_index(catalogue(host_kmers.select("kmer")).distinct(), k)
+    per_mate = [F.coalesce(F.sum(F.when(F.col("mate") == i, F.col("n"))), F.lit(0)) >= min_hits for i in (1, 2)]
+    flagged = match_kmers(reads, index).groupBy("sample", "read_id").agg(per_mate[0].alias("m1"), per_mate[1].alias("m2"))
+    return flagged.filter(F.col("m1") & F.col("m2") if mode == "both" else F.col("m1") | F.col("m2")).select("sample", "read_id")
 
 
-def remove_host(reads: DataFrame, host_kmers: DataFrame, k: int = 31, min_hits: int = 5, mode: str = "both") -> DataFrame:
+def remove_host(reads: DataFrame, host_kmers: DataFrame | KmerIndex, k: int = 31, min_hits: int = 5, mode: str = "both") -> DataFrame:
     """Drop a pair when both mates (``mode='both'``, concordant) or either mate
     (``mode='any'``) is host by k-mer evidence; the rest is kept."""
-    if mode not in ("both", "any"):
-        raise ValueError("mode must be 'both' or 'any'")
-    need = 2 if mode == "both" else 1
-    flagged = host_mates(reads, host_kmers, k, min_hits).groupBy("sample", "read_id").agg(F.count("*").alias("_m")) \
-        .filter(F.col("_m") >= need).select("sample", "read_id")
-    return reads.join(flagged, ["sample", "read_id"], "left_anti")
+    return reads.join(host_pairs(reads, host_kmers, k, min_hits, mode), ["sample", "read_id"], "left_anti")
 
 
 def remove_aligned(reads: DataFrame, aln: DataFrame, key=None) -> DataFrame:

@@ -12,9 +12,10 @@ from __future__ import annotations
 import re
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from taxaframe.session import stored
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -42,9 +43,13 @@ FIXTURE_SQL: dict[str, str] = {
         "UNION ALL SELECT species,genus,'S',concat('s__S',cast(species as string)) FROM {fx_genome}"
     ),
     "fx_reads": (
-        "WITH b AS (SELECT concat(cast(l_orderkey as string),':',cast(l_linenumber as string),':',cast(l_partkey as string)) AS read_id, "
-        "min(l_orderkey*8+l_linenumber) AS ordinal, min(l_suppkey)%12 AS sn, min(l_partkey) AS pk, cast(min(l_quantity) as int) AS q, "
-        "min((l_orderkey*31+l_linenumber*17)%96) AS off FROM {lineitem} GROUP BY 1), "
+        # every lineitem row is a read; rows that share (order, line, part) are numbered over all their columns
+        "WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey,l_linenumber,l_partkey ORDER BY l_suppkey,l_quantity,l_extendedprice,"
+        "l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate) AS copy FROM {lineitem}), "
+        "b AS (SELECT concat(cast(l_orderkey as string),':',cast(l_linenumber as string),':',cast(l_partkey as string),"
+        "CASE WHEN copy=1 THEN '' ELSE concat(':',cast(copy as string)) END) AS read_id, "
+        "l_orderkey*8+l_linenumber AS ordinal, l_suppkey%12 AS sn, l_partkey AS pk, cast(l_quantity as int) AS q, "
+        "(l_orderkey*31+l_linenumber*17)%96 AS off FROM n), "
         "c AS (SELECT b.*, g.seq, cast(CASE WHEN q%10=7 THEN 1 ELSE 1+off END as int) AS st FROM b JOIN {fx_genome} g ON g.genome_id=b.pk), "
         "d AS (SELECT *, substr(seq,st,100) AS s1, reverse(translate(substr(seq,st+60,100),'ACGT','TGCA')) AS s2, "
         "translate(substr(concat(md5(concat('q',read_id)),md5(concat('r',read_id)),md5(concat('s',read_id)),md5(concat('t',read_id))),1,100),'0123456789abcdef','#+049<>?@ABCDEFI') AS q1, "
@@ -181,15 +186,21 @@ def _spark_kmer_windows(fx: "Fixtures") -> DataFrame:
     )
 
 
-# Spark-side plans that replace a SQL text with an equivalent DataFrame program
-SPARK_OVERRIDES = {"fx_kmer_windows": _spark_kmer_windows}
+def _spark_tree_index(fx: "Fixtures") -> DataFrame:
+    """The numbered taxonomy, which stands for a prepared database."""
+    from taxaframe.operators.kmer import index_tree
+
+    return index_tree(fx.table("fx_taxonomy"))
+
+
+# Spark-side plans that replace a SQL text with an equivalent DataFrame program, or have none
+SPARK_OVERRIDES = {"fx_kmer_windows": _spark_kmer_windows, "fx_tree_index": _spark_tree_index}
 
 
-# Derived fixtures are built once per (session, folder) and persisted: they stand in
-# for input tables that would be Parquet in production. A persisted relation is also
-# a leaf for the optimizer, so predicates of the queries stop at it instead of being
-# inlined into the fixture's own (md5-heavy) projections.
-_PERSISTED: dict[tuple[str, str, str], DataFrame] = {}
+# Derived fixtures stand in for input tables, so each is written once per (session, folder) as Parquet
+# in the shared folder of ``spark.checkpoint.dir``; queries scan it like any input, with
+# pushed filters and pruned columns, and a lost executor costs a re-read.
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class Fixtures:
@@ -206,21 +217,21 @@ class Fixtures:
                 self._dfs[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
                 return self._dfs[name]
             key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-            if key not in _PERSISTED:
+            if key not in _STORED:
                 if name in SPARK_OVERRIDES:
                     df = SPARK_OVERRIDES[name](self)
                 else:
                     params = {d: self.table(d) for d in _deps(name)}
                     df = self.spark.sql(_text(name, "spark"), **params)
-                _PERSISTED[key] = df.persist(StorageLevel.MEMORY_AND_DISK)
-            self._dfs[name] = _PERSISTED[key]
+                _STORED[key] = stored(df, name)
+            self._dfs[name] = _STORED[key]
         return self._dfs[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         key = name if name in BASE_TABLES else f"fx_{name}"
-        if key in FIXTURE_SQL or key in BASE_TABLES:
+        if key in FIXTURE_SQL or key in SPARK_OVERRIDES or key in BASE_TABLES:
             return self.table(key)
         raise AttributeError(name)
 
