@@ -292,6 +292,34 @@ def remove_host(reads: DataFrame, host_kmers: DataFrame | KmerIndex, k: int = 31
     return reads.join(host_pairs(reads, host_kmers, k, min_hits, mode), ["sample", "read_id"], "left_anti")
 
 
+def contaminated_pairs(reads: DataFrame, catalogues: dict[str, DataFrame], k: int = 31, min_hits: int = 5, mode: str = "both") -> DataFrame:
+    """J6 and J7 in one pass: (sample, read_id) of the pairs that any of the catalogues claims (host, spike-in, ...).
+
+    The catalogues share one index, so reads are cut into k-mers and shuffled once. Only ids come out.
+    """
+    if mode not in ("both", "any"):
+        raise ValueError("mode must be 'both' or 'any'")
+    named = None
+    for name, kmers in catalogues.items():
+        own = catalogue(kmers.select("kmer")).select("kmer", F.lit(name).alias("source"))
+        named = own if named is None else named.unionByName(own)
+    met = match_kmers(reads, build_index(named.distinct(), k))
+    claims = []
+    for name in catalogues:
+        mate = [F.coalesce(F.sum(F.when((F.col("mate") == i) & (F.col("source") == name), F.col("n"))), F.lit(0)) >= min_hits for i in (1, 2)]
+        claims.append(mate[0] & mate[1] if mode == "both" else mate[0] | mate[1])
+    claimed = claims[0]
+    for c in claims[1:]:
+        claimed = claimed | c
+    return met.groupBy("sample", "read_id").agg(claimed.alias("claimed")).filter("claimed").select("sample", "read_id")
+
+
+def decontaminate(reads: DataFrame, catalogues: dict[str, DataFrame], k: int = 31, min_hits: int = 5, mode: str = "both", min_len: int = 15) -> DataFrame:
+    """J6 -> J7 -> J8: pairs that no catalogue claims and whose mates both have at least ``min_len`` bases."""
+    kept = reads.filter((F.length("seq1") >= min_len) & (F.length("seq2") >= min_len))
+    return kept.join(contaminated_pairs(kept, catalogues, k, min_hits, mode), ["sample", "read_id"], "left_anti")
+
+
 def remove_aligned(reads: DataFrame, aln: DataFrame, key=None) -> DataFrame:
     """Drop pairs that a user's alignment table reports as properly paired."""
     bad = aln.filter(F.col("proper_pair")).select("sample", F.col("read_id").alias("_rid")).distinct()

@@ -87,13 +87,15 @@ def overlap(reads: DataFrame, min_overlap: int = 30, max_mismatch: int = 5) -> D
     return reads.mapInPandas(lambda it: _overlap_batches(it, min_overlap, max_mismatch), out)
 
 
-def _correct_batches(batches, min_ov, max_mm, low, high):
+def _correct_batches(batches, min_ov, max_mm, low, high, correct=True, locate=False):
+    """Batches with corrected mates and their number of corrections, with the overlap's place if ``locate``."""
     for pdf in _parts(batches):
         a, la = _matrix(_bytes(pdf["seq1"]), _PAD1)
         r, lr = _matrix([t.translate(_COMP)[::-1] for t in _bytes(pdf["seq2"])], _PAD2)
         found, at, ov, mm = _find(a, la, r, lr, min_ov, max_mm)
         res, corrected = pdf.copy(), np.zeros(len(pdf), np.int32)
-        rows = np.flatnonzero(found & (mm > 0))
+        insert = at + lr
+        rows = np.flatnonzero(found & (mm > 0)) if correct else []
         if len(rows):
             own = pdf.iloc[rows]
             qa, lqa = _matrix(_bytes(own["qual1"]), 33)
@@ -120,6 +122,9 @@ def _correct_batches(batches, min_ov, max_mm, low, high):
                 column[rows] = [v.decode("ascii") for v in values]
                 res[name] = column
         res["corrected"] = corrected
+        if locate:
+            for name, values in (("overlap_offset", at), ("insert_size", insert)):
+                res[name] = pd.arrays.IntegerArray(values.astype(np.int32), ~found)
         yield res
 
 
@@ -129,3 +134,11 @@ def correct_overlap(reads: DataFrame, min_overlap: int = 30, max_mismatch: int =
     return reads.mapInPandas(
         lambda it: _correct_batches(it, min_overlap, max_mismatch, low, high), f"{schema},corrected int"
     )
+
+
+def locate_overlap(reads: DataFrame, correct: bool = False, min_overlap: int = 30, max_mismatch: int = 5, low: int = 14, high: int = 30) -> DataFrame:
+    """R9 and, with ``correct``, R10 in one search: the reads with ``corrected``, ``overlap_offset`` and ``insert_size`` (nulls when none)."""
+    schema = reads.schema.simpleString()[len("struct<"):-1]
+    return reads.mapInPandas(
+        lambda it: _correct_batches(it, min_overlap, max_mismatch, low, high, correct, locate=True), f"{schema},corrected int,overlap_offset int,insert_size int"
+    )

@@ -14,7 +14,13 @@ Contracts here are this engine's own (the reference delegates the algorithm):
 * ``cut_tail``: keep up to the end of the last window (3'->5') with mean >= q; none -> empty;
 * adapter: cut at the first exact occurrence, else at the longest 3' suffix equal to an
   adapter prefix of at least ``adapter_min`` bases;
-* poly-G / poly-X: exact 3' runs of at least ``poly_min`` bases.
+* poly-G / poly-X: exact 3' runs of at least ``poly_min`` bases;
+* read-through: where mate 2 (reverse complement) starts before mate 1, the insert is shorter than the
+  reads, and both mates are cut to the insert; such a pair needs no adapter cut by sequence;
+* a sample's adapter of a mate is the most frequent start of what lies behind the inserts of its
+  read-through pairs, if that is at least half of those starts and occurs ``adapter_pairs`` times.
+
+The whole job runs R1-R5, overlap (correction, read-through), adapters, R7, then the filters.
 """
 
 from __future__ import annotations
@@ -51,7 +57,11 @@ class CleanConfig:
     length_required: int = 15
     length_limit: int = 0
     adapter: str | None = None
+    adapter_r2: str | None = None  # mate 2; None: as mate 1
     adapter_min: int = 4
+    detect_adapter_for_pe: bool = False  # cut read-through by overlap, learn adapters that are not given
+    adapter_pairs: int = 10
+    correction: bool = False
     trim_front1: int = 0
     trim_tail1: int = 0
     trim_front2: int = 0
@@ -62,6 +72,7 @@ class CleanConfig:
     cut_window_size: int = 4
     cut_mean_quality: int = 20
     trim_poly_g: bool = False
+    disable_trim_poly_g: bool = False  # wins over trim_poly_g
     trim_poly_x: bool = False
     poly_min: int = 10
     dedup: bool = False
@@ -232,9 +243,12 @@ def filter_pairs(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
 
 # -- whole job --------------------------------------------------------------------------
 
-def trim_all(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
-    """R1-R7 in order: fixed, window cuts, poly-G, adapter, poly-X; one substr at the end."""
-    df = _begin(reads)
+#: bases behind an insert by which an adapter is learned (the length of the common adapter prefix)
+ADAPTER_START = len(TRUSEQ_ADAPTER)
+
+
+def _trim_ends(df: DataFrame, cfg: CleanConfig) -> DataFrame:
+    """R1-R5 on tracked windows."""
     df = _fixed(df, {1: (cfg.trim_front1, cfg.trim_tail1), 2: (cfg.trim_front2, cfg.trim_tail2)})
     if cfg.cut_front:
         df = _window(df, cfg.cut_window_size, cfg.cut_mean_quality, "front")
@@ -242,27 +256,107 @@ def trim_all(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
         df = _window(df, cfg.cut_window_size, cfg.cut_mean_quality, "right")
     elif cfg.cut_tail:
         df = _window(df, cfg.cut_window_size, cfg.cut_mean_quality, "tail")
-    if cfg.trim_poly_g:
+    if cfg.trim_poly_g and not cfg.disable_trim_poly_g:
         p = poly_pattern("G", cfg.poly_min)
         df = _regex_keep(df, {1: p, 2: p})
-    if cfg.adapter:
-        p = adapter_pattern(cfg.adapter, cfg.adapter_min)
-        df = _regex_keep(df, {1: p, 2: p})
+    return df
+
+
+def _overlapped(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
+    """Reads after R1-R5 with the place of their overlap, corrected if asked."""
+    from taxaframe.operators.overlap import locate_overlap
+
+    return locate_overlap(_finish(_trim_ends(_begin(reads), cfg)), cfg.correction)
+
+
+def adapter_starts(overlapped: DataFrame, min_pairs: int = 10) -> DataFrame:
+    """Learned adapters (sample, mate, adapter, pairs, tails) from reads with ``overlap_offset`` and ``insert_size``.
+
+    Tails are counted per text map-side; a sample's list of distinct tails is ranked by a partial top-1.
+    """
+    from pyspark.sql import Window
+
+    start = F.col("insert_size") + 1
+    tails = F.explode(F.array(*[F.struct(F.lit(m).alias("mate"), F.col(f"seq{m}").substr(start, F.lit(ADAPTER_START)).alias("adapter")) for m in MATES]))
+    through = overlapped.filter(F.col("overlap_offset") < 0).select("sample", tails.alias("t")).select("sample", "t.*")
+    counts = through.filter((F.length("adapter") == ADAPTER_START) & ~F.col("adapter").contains("N")).groupBy("sample", "mate", "adapter").agg(F.count("*").alias("pairs"))
+    total = counts.groupBy("sample", "mate").agg(F.sum("pairs").alias("tails"))
+    first = Window.partitionBy("sample", "mate").orderBy(F.desc("pairs"), "adapter")
+    best = counts.withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
+    return best.join(total, ["sample", "mate"]).filter((F.col("pairs") >= min_pairs) & (F.col("pairs") * 2 >= F.col("tails"))).select("sample", "mate", "adapter", "pairs", "tails")
+
+
+def detect_adapters(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
+    """R8 for pairs: adapters of every sample and mate, learned from all its read-through pairs."""
+    return adapter_starts(_overlapped(reads, cfg), cfg.adapter_pairs)
+
+
+def _adapter_length(s: Column, adapter: Column, min_len: int) -> Column:
+    """Length left of ``s`` at an adapter that is a column (null: whole): first exact place, else the longest 3' suffix that is its prefix."""
+    at, out = F.instr(s, adapter), None
+    out = F.when(at > 0, at - 1)
+    for n in range(ADAPTER_START - 1, min_len - 1, -1):
+        out = out.when(F.endswith(s, F.substring(adapter, 1, n)), F.length(s) - n)
+    return F.when(adapter.isNull(), F.length(s)).otherwise(out.otherwise(F.length(s)))
+
+
+def trim_all(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
+    """R1-R7 with the overlap steps R9 and R10 where asked; substrings are taken before the overlap search and at the end."""
+    given = {1: cfg.adapter, 2: cfg.adapter_r2 or cfg.adapter}
+    through = F.lit(False)
+    if cfg.detect_adapter_for_pe or cfg.correction:
+        located = _overlapped(reads, cfg)
+        df = _begin(located)
+        if cfg.detect_adapter_for_pe:
+            through = F.coalesce(F.col("overlap_offset") < 0, F.lit(False))
+            for m in MATES:
+                df = _set(df, m, None, F.when(through, F.least(F.col(f"_ln{m}"), "insert_size")).otherwise(F.col(f"_ln{m}")))
+            if not all(given.values()):
+                learned = adapter_starts(located, cfg.adapter_pairs)
+                wide = learned.groupBy("sample").agg(*[F.max(F.when(F.col("mate") == m, F.col("adapter"))).alias(f"_ad{m}") for m in MATES])
+                df = df.join(wide, "sample", "left")  # a row per sample: broadcast by its size
+    else:
+        df = _trim_ends(_begin(reads), cfg)
+    for m in MATES:
+        if given[m]:
+            left = F.length(F.regexp_replace(_cur(m), adapter_pattern(given[m], cfg.adapter_min), ""))
+        elif cfg.detect_adapter_for_pe:
+            left = _adapter_length(_cur(m), F.col(f"_ad{m}"), cfg.adapter_min)
+        else:
+            continue
+        df = _set(df, m, None, F.when(through, F.col(f"_ln{m}")).otherwise(left) if cfg.detect_adapter_for_pe else left)
     if cfg.trim_poly_x:
         p = poly_pattern(None, cfg.poly_min)
         df = _regex_keep(df, {1: p, 2: p})
-    return _finish(df)
+    return _finish(df).drop("corrected", "overlap_offset", "insert_size", "_ad1", "_ad2")
+
+
+def _pair_key() -> Column:
+    """SHA-256 of both sequences (a null mate differs from an empty one): what identical pairs share, without carrying their bases."""
+    mate = [F.coalesce(F.concat(F.length(f"seq{m}").cast("string"), F.lit(":"), F.col(f"seq{m}")), F.lit("-")) for m in MATES]
+    return F.unhex(F.sha2(F.concat(*mate).cast("binary"), 256))
+
+
+def _first_pairs(reads: DataFrame) -> DataFrame:
+    """(sample, _key, ordinal, read_id) of the smallest (ordinal, read_id) of every identical (seq1, seq2) in a sample.
+
+    Partial aggregation collapses a hot sequence map-side, to a row of ids and a digest per task.
+    """
+    best = reads.groupBy("sample", _pair_key().alias("_key")).agg(F.min(F.struct("ordinal", "read_id")).alias("k"))
+    return best.select("sample", "_key", "k.ordinal", "k.read_id")
 
 
 def dedup_keepers(reads: DataFrame) -> DataFrame:
-    """One pair per identical (seq1, seq2) in a sample: the smallest (ordinal, read_id).
+    """One pair per identical (seq1, seq2) in a sample: the smallest (ordinal, read_id, qualities).
 
-    An aggregation, not a window: partial aggregation collapses a hot sequence
-    map-side, so a third of all reads being one sequence costs one row per task.
+    The aggregation sees ids and digests; only kept pairs bring their sequences, by a join on their names.
     """
-    key = ["sample", F.xxhash64("seq1", "seq2").alias("_h"), "seq1", "seq2"]
-    best = reads.groupBy(*key).agg(F.min(F.struct("ordinal", "read_id", "qual1", "qual2")).alias("k"))
-    return best.select("sample", "k.ordinal", "k.read_id", "seq1", "k.qual1", "seq2", "k.qual2")
+    key = ["sample", "_key", "ordinal", "read_id"]
+    named = reads.select("sample", "ordinal", "read_id", "seq1", "qual1", "seq2", "qual2", _pair_key().alias("_key"))
+    kept = named.join(_first_pairs(reads), key, "left_semi")
+    # repeated rows of one name are one pair; the join has brought them together
+    one = kept.groupBy(*key).agg(F.min(F.struct("qual1", "qual2")).alias("q"), F.first("seq1").alias("seq1"), F.first("seq2").alias("seq2"))
+    return one.select("sample", "ordinal", "read_id", "seq1", "q.qual1", "seq2", "q.qual2")
 
 
 def clean_reads(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
@@ -271,8 +365,7 @@ def clean_reads(reads: DataFrame, cfg: CleanConfig) -> DataFrame:
     if cfg.dedup:
         # read ids repeat across samples: a pair is named by sample, ordinal and id
         key = ["sample", "ordinal", "read_id"]
-        best = reads.groupBy("sample", "seq1", "seq2").agg(F.min(F.struct("ordinal", "read_id")).alias("k"))
-        keepers = best.select("sample", "k.ordinal", "k.read_id", F.lit(True).alias("_keeper")).distinct()
+        keepers = _first_pairs(reads).select(*key).distinct().withColumn("_keeper", F.lit(True))
         out = out.join(keepers, key, "left").withColumn(
             "reason", F.when((F.col("reason") == PASSED) & F.col("_keeper").isNull(), DUPLICATE).otherwise(F.col("reason"))
         ).drop("_keeper")

@@ -61,6 +61,13 @@ FIXTURE_SQL: dict[str, str] = {
         "CASE q%10 WHEN 4 THEN concat(substr(q1,1,50),repeat('#',50)) WHEN 5 THEN substr(q1,1,12) ELSE q1 END AS qual1, "
         "s2 AS seq2, q2 AS qual2 FROM d"
     ),
+    # pairs of which some have an insert shorter than the reads, so that both mates run into adapters
+    "fx_reads_pe": (
+        "SELECT sample, ordinal, read_id, "
+        "CASE WHEN short THEN substr(concat(substr(seq1,1,ins),'AGATCGGAAGAGCACACGTCTGAACTCCAGTCA',repeat('A',100)),1,100) ELSE seq1 END AS seq1, qual1, "
+        "CASE WHEN short THEN substr(concat(reverse(translate(substr(seq1,1,ins),'ACGT','TGCA')),'AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGT',repeat('A',100)),1,100) ELSE seq2 END AS seq2, qual2 "
+        "FROM (SELECT *, ordinal%5<2 AND length(seq1)=100 AND length(seq2)=100 AS short, cast(40+ordinal%50 as int) AS ins FROM {fx_reads}) x"
+    ),
     "fx_base": (
         "SELECT CASE WHEN s_nationkey<2 THEN concat('Mock',cast(s_nationkey+1 as string)) WHEN s_nationkey=2 THEN 'mock3' "
         "ELSE concat('S',lpad(cast(s_nationkey as string),2,'0')) END AS sample, p_type, p_brand, p_name, p_size, p_partkey, "

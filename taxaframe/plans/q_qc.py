@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from taxaframe.operators import kmer as KM
 from taxaframe.operators import qc as QC
 from taxaframe.operators import reads as RD
 from taxaframe.plans import sql_reads as Q
 from taxaframe.plans.q_reads import CLEAN_DEFAULT
-from taxaframe.plans.registry import query
+from taxaframe.plans.registry import REGISTRY, query
+from taxaframe.session import stored
 
 K = "stage, sample, mate"
 
@@ -18,23 +20,31 @@ def _mates_sql(stage: str, src: str) -> str:
             f"UNION ALL SELECT '{stage}', sample, 2, read_id, seq2, qual2 FROM {src}")
 
 
-RAW = f"m AS ({_mates_sql('raw', 'fx_reads')})"
-CLEAN = f"{Q.cleaned(CLEAN_DEFAULT)}, m AS ({_mates_sql('clean', '(SELECT * FROM cl WHERE reason = ' + chr(39) + 'passed' + chr(39) + ')')})"
-BOTH = (f"{Q.cleaned(CLEAN_DEFAULT)}, m AS ({_mates_sql('raw', 'fx_reads')} UNION ALL "
-        f"{_mates_sql('clean', '(SELECT * FROM cl WHERE reason = ' + chr(39) + 'passed' + chr(39) + ')')})")
+# the clean stage: cleaned pairs that neither the host nor the spike-in catalogue claims, both mates long enough
+_CLEAN_SQL = f"""{Q.cleaned(CLEAN_DEFAULT)},
+ ok AS (SELECT * FROM cl WHERE reason = 'passed' AND length(seq1) >= 15 AND length(seq2) >= 15),
+ okm AS (SELECT sample, read_id, 1 AS mate, seq1 AS seq FROM ok UNION ALL SELECT sample, read_id, 2, seq2 FROM ok),
+ okk AS (SELECT sample, read_id, mate, least(km, reverse(translate(km, 'ACGT', 'TGCA'))) AS kmer FROM (
+   SELECT sample, read_id, mate, unnest(list_transform(range(1, length(seq) - 31 + 2), lambda i: substr(seq, i, 31))) AS km FROM okm WHERE length(seq) >= 31) WHERE NOT contains(km, 'N')),
+ known AS (SELECT DISTINCT kmer, CASE WHEN species % 20 = 0 THEN 'host' ELSE 'spike' END AS source FROM fx_kmer_windows WHERE species % 20 = 0 OR species = 1007),
+ claims AS (SELECT sample, read_id, mate, source FROM okk JOIN known USING (kmer) GROUP BY ALL HAVING count(*) >= 5),
+ claimed AS (SELECT DISTINCT sample, read_id FROM (SELECT sample, read_id, source FROM claims GROUP BY ALL HAVING count(*) = 2)),
+ clean AS (SELECT ok.* FROM ok LEFT JOIN claimed USING (sample, read_id) WHERE claimed.read_id IS NULL)"""
+BOTH = f"{_CLEAN_SQL}, m AS ({_mates_sql('raw', 'fx_reads')} UNION ALL {_mates_sql('clean', 'clean')})"
 
 
 def _raw(fx):
     return QC.mates(fx.reads, "raw")
 
 
-def _clean(fx):
+def _clean_reads(fx):
     kept = RD.clean_reads(fx.reads, CLEAN_DEFAULT).filter(F.col("reason") == RD.PASSED).drop("reason")
-    return QC.mates(kept, "clean")
+    windows = fx.kmer_windows
+    return KM.decontaminate(kept, {"host": windows.filter(F.col("species") % 20 == 0), "spike": windows.filter(F.col("species") == 1007)})
 
 
 def _both(fx):
-    return _raw(fx).unionByName(_clean(fx))
+    return _raw(fx).unionByName(QC.mates(_clean_reads(fx), "clean"))
 
 
 BASIC = f"""SELECT {K}, count(*) AS reads, CAST(sum(length(seq)) AS BIGINT) AS bases, CAST(min(length(seq)) AS INTEGER) AS min_len,
@@ -181,24 +191,54 @@ def q_qc_clean_rows(fx):
 BASIC_KEYS = ["reads", "bases", "min_len", "max_len", "gc_pct"]
 REPORT_METRICS = [f"{st}_basic_{k}_r{m}" for st in ("raw", "clean") for m in (1, 2) for k in BASIC_KEYS] + [f"clean_fastp_{k}" for k in TOTAL_KEYS]
 
-
-def _report_sql() -> str:
-    body, sel = _clean_rows_sql()
-    basic = BASIC.replace("FROM m GROUP BY", "FROM mm GROUP BY")
-    basic_rows = " UNION ALL ".join(
-        f"SELECT stage, sample, mate, 'basic' AS module, '{k}' AS key, CAST({k} AS DOUBLE) AS value FROM bb" for k in BASIC_KEYS
-    )
-    cols = ", ".join(f"round(max(value) FILTER (WHERE metric = '{m}'), 9) AS \"{m}\"" for m in REPORT_METRICS)
-    return (
-        f"WITH {body}, mm AS ({_mates_sql('raw', 'fx_reads')} UNION ALL {_mates_sql('clean', '(SELECT * FROM cl WHERE reason = ' + chr(39) + 'passed' + chr(39) + ')')}), "
-        f"bb AS ({basic}), rows AS ({basic_rows} UNION ALL {sel}), "
-        "named AS (SELECT *, stage || '_' || module || '_' || key || CASE WHEN mate > 0 THEN '_r' || CAST(mate AS VARCHAR) ELSE '' END AS metric FROM rows) "
-        f"SELECT sample, {cols} FROM named GROUP BY sample"
+#: module -> (its query, columns that tell its rows apart, values)
+MODULES = {
+    "basic": ("qc_basic", [], BASIC_KEYS),
+    "pos_quality": ("qc_pos_quality", ["pos"], ["mean", "p10", "q25", "median", "q75", "p90"]),
+    "read_quality": ("qc_read_quality", ["mean_quality"], ["reads"]),
+    "base_content": ("qc_base_content", ["pos"], [f"pct_{b}" for b in "acgtn"]),
+    "gc_hist": ("qc_gc_hist", ["gc_pct"], ["reads"]),
+    "length_hist": ("qc_length_hist", ["length"], ["reads"]),
+    "duplication": ("qc_duplication", ["level"], ["sequences", "reads", "pct_remaining"]),
+    "overrepresented": ("qc_overrepresented", ["seq"], ["count", "pct"]),
+    "adapter": ("qc_adapter", ["pos"], ["pct_adapter"]),
+    "kmer": ("qc_kmer", ["kmer"], ["total", "max_pos", "ratio", "rank"]),
+}
+
+
+def _rows_sql(module: str) -> tuple[str, str]:
+    """CTE of a module's table, and its T16 rows."""
+    name, at, values = MODULES[module]
+    body = REGISTRY[name].oracle.strip()[len(f"WITH {BOTH}"):].strip()
+    table = f"m_{module} AS ({'WITH ' + body[1:] if body.startswith(',') else body})"
+    place = " || ',' || ".join(f"'{c}=' || CAST({c} AS VARCHAR)" for c in at)
+    rows = " UNION ALL ".join(
+        f"SELECT {K}, '{module}' AS module, {place + f" || ':{v}'" if at else f"'{v}'"} AS key, CAST({v} AS DOUBLE) AS value FROM m_{module}" for v in values
     )
+    return table, rows
+
+
+_TABLES, _ROWS = zip(*[_rows_sql(m) for m in MODULES])
+_FASTP = f"""b AS (SELECT sample, {Q.mate_totals('before')} FROM fx_reads GROUP BY sample),
+ a AS (SELECT sample, {Q.mate_totals('after')} FROM cl WHERE reason = 'passed' GROUP BY sample),
+ totals AS (SELECT b.*, coalesce(a.reads_after, 0) AS reads_after, coalesce(a.bases_after, 0) AS bases_after, coalesce(a.q20_after, 0) AS q20_after,
+   coalesce(a.q30_after, 0) AS q30_after, coalesce(a.gc_after, 0) AS gc_after FROM b LEFT JOIN a ON a.sample = b.sample)"""
 
 
-@query("qc_report", _report_sql())
+@query("qc_report", f"WITH {BOTH}, {_FASTP}, {', '.join(_TABLES)} {' UNION ALL '.join(_ROWS)} UNION ALL {_CR_SEL}")
 def q_qc_report(fx):
-    basic = QC.qc_basic(_both(fx))
-    rows = QC.to_metrics(basic, "basic", QC.KEYS, BASIC_KEYS)
+    # the clean stage is a table, as ten modules read it
+    both = _raw(fx).unionByName(QC.mates(stored(_clean_reads(fx), "clean_reads"), "clean"))
+    return QC.union_rows([QC.report_rows(both), _clean_rows(fx)])
+
+
+_WIDE = ", ".join(f"round(max(value) FILTER (WHERE metric = '{m}'), 9) AS \"{m}\"" for m in REPORT_METRICS)
+
+
+@query("qc_report_wide", f"""
+WITH {BOTH}, {_FASTP}, {_TABLES[0]}, rows AS ({_ROWS[0]} UNION ALL {_CR_SEL}),
+ named AS (SELECT *, stage || '_' || module || '_' || key || CASE WHEN mate > 0 THEN '_r' || CAST(mate AS VARCHAR) ELSE '' END AS metric FROM rows)
+SELECT sample, {_WIDE} FROM named GROUP BY sample""")
+def q_qc_report_wide(fx):
+    rows = QC.to_metrics(QC.qc_basic(_both(fx)), "basic", QC.KEYS, BASIC_KEYS)
     return QC.qc_report([rows, _clean_rows(fx)], REPORT_METRICS).select("sample", *[F.col(f"`{m}`") for m in REPORT_METRICS])

@@ -113,20 +113,50 @@ def q_clean_summary(fx):
     return RD.clean_summary(fx.reads, CLEAN_ALL)
 
 
-_TOTALS_SQL = f"""
-WITH {Q.cleaned(CLEAN_DEFAULT)},
- b AS (SELECT sample, {Q.mate_totals('before')} FROM fx_reads GROUP BY sample),
+def _totals_sql(cfg, src="fx_reads") -> str:
+    return f"""
+WITH {Q.cleaned(cfg, src)},
+ b AS (SELECT sample, {Q.mate_totals('before')} FROM {src} GROUP BY sample),
  a AS (SELECT sample, {Q.mate_totals('after')} FROM cl WHERE reason = 'passed' GROUP BY sample),
  totals AS (SELECT b.*, coalesce(a.reads_after, 0) AS reads_after, coalesce(a.bases_after, 0) AS bases_after, coalesce(a.q20_after, 0) AS q20_after,
    coalesce(a.q30_after, 0) AS q30_after, coalesce(a.gc_after, 0) AS gc_after FROM b LEFT JOIN a ON a.sample = b.sample)
 """
 
 
+_TOTALS_SQL = _totals_sql(CLEAN_DEFAULT)
+
+
 @query("clean_totals", _TOTALS_SQL + "SELECT * FROM totals")
 def q_clean_totals(fx):
     return RD.clean_totals(fx.reads, CLEAN_DEFAULT)
 
 
+# the job with its overlap steps: read-through cut, adapters learned per sample, corrected bases; poly-G is switched off again
+CLEAN_PE = RD.CleanConfig(detect_adapter_for_pe=True, correction=True, trim_poly_g=True, disable_trim_poly_g=True, cut_tail=True, trim_poly_x=True, dedup=True)
+CLEAN_R2 = RD.CleanConfig(detect_adapter_for_pe=True, adapter="AGATCGGAAGAGC", adapter_r2="AGATCGGAAGAGC", length_limit=99)
+_PE_CTES, _PE_LAST = Q.trim_chain(CLEAN_PE, "fx_reads_pe", until_overlap=True)
+
+
+@query("detect_adapters", f"WITH {', '.join([*_PE_CTES, Q.learned_adapters(_PE_LAST, 10)])} SELECT * FROM learned")
+def q_detect_adapters(fx):
+    return RD.detect_adapters(fx.reads_pe, CLEAN_PE)
+
+
+@query("clean_pe_reads", f"WITH {Q.cleaned(CLEAN_PE, 'fx_reads_pe')} SELECT {OUT}, reason FROM cl")
+def q_clean_pe_reads(fx):
+    return RD.clean_reads(fx.reads_pe, CLEAN_PE).select(*OUT_COLS, "reason")
+
+
+@query("clean_pe_summary", f"WITH {Q.cleaned(CLEAN_PE, 'fx_reads_pe')} SELECT sample, reason, count(*) AS pairs FROM cl GROUP BY 1, 2")
+def q_clean_pe_summary(fx):
+    return RD.clean_summary(fx.reads_pe, CLEAN_PE)
+
+
+@query("clean_pe_totals", _totals_sql(CLEAN_R2, "fx_reads_pe") + "SELECT * FROM totals")
+def q_clean_pe_totals(fx):
+    return RD.clean_totals(fx.reads_pe, CLEAN_R2)
+
+
 @query("subsample", """
 SELECT sample, read_id FROM (SELECT sample, read_id, row_number() OVER (PARTITION BY sample ORDER BY md5(read_id || ':100'), read_id) AS rn FROM fx_reads)
 WHERE rn <= 2000""")
@@ -163,15 +193,7 @@ def q_revcomp(fx):
     return fx.reads.select("read_id", revcomp("seq2").alias("rc2"))
 
 
-# every offset of every pair by its Hamming distance; the first that qualifies is taken
-_OVERLAP_SQL = """
- r AS MATERIALIZED (SELECT *, row_number() OVER () AS rid, reverse(translate(seq2, 'ACGTN', 'TGCAN')) AS rc, reverse(qual2) AS rq FROM fx_reads),
- o AS (SELECT rid, seq1, rc, unnest(list_concat(range(0, length(seq1) - 29), list_transform(range(1, length(rc) - 29), lambda k: -k))) AS off
-   FROM r WHERE length(seq1) >= 30 AND length(rc) >= 30),
- v AS (SELECT *, least(length(seq1) - greatest(off, 0), length(rc) - greatest(-off, 0)) AS ov FROM o),
- h AS (SELECT rid, off, ov, hamming(substr(seq1, greatest(off, 0) + 1, ov), substr(rc, greatest(-off, 0) + 1, ov)) AS mm FROM v),
- hit AS (SELECT rid, arg_min({'off': off, 'ov': ov, 'mm': mm}, CASE WHEN off >= 0 THEN off ELSE 1000000 - off END) AS b FROM h WHERE mm <= 5 GROUP BY rid),
- ro AS (SELECT r.*, hit.b.off AS off, hit.b.ov AS ov, hit.b.mm AS mm FROM r LEFT JOIN hit ON r.rid = hit.rid)"""
+_OVERLAP_SQL = Q.overlap_ctes("fx_reads")
 
 
 @query("read_overlap", f"""
@@ -184,18 +206,9 @@ def q_read_overlap(fx):
     return overlap(fx.reads).select("sample", "read_id", "overlap_offset", "overlap_len", "mismatches", "insert_size")
 
 
-def _corrected(own: str, own_q: str, other: str, other_q: str, sign: str, value: str) -> str:
-    """Text of a mate whose weak bases (or their qualities) are taken from the place that faces them."""
-    there = f"i {sign} off"
-    return (f"array_to_string(list_transform(range(1, length({own}) + 1), lambda i: CASE WHEN {there} BETWEEN 1 AND length({other}) "
-            f"AND {own}[i] <> {other}[{there}] AND ascii({own_q}[i]) - 33 <= 14 AND ascii({other_q}[{there}]) - 33 >= 30 "
-            f"THEN {value}[{there}] ELSE {own if value == other else own_q}[i] END), '')")
-
-
 @query("overlap_correction", f"""
 WITH {_OVERLAP_SQL},
- c AS (SELECT *, {_corrected('seq1', 'qual1', 'rc', 'rq', '-', 'rc')} AS s1, {_corrected('seq1', 'qual1', 'rc', 'rq', '-', 'rq')} AS q1,
-   {_corrected('rc', 'rq', 'seq1', 'qual1', '+', 'seq1')} AS s2, {_corrected('rc', 'rq', 'seq1', 'qual1', '+', 'qual1')} AS q2 FROM ro WHERE mm > 0)
+ c AS (SELECT *, {Q.CORRECTED} FROM ro WHERE mm > 0)
 SELECT sample, read_id, seq1, qual1, seq2, qual2, CAST(0 AS INTEGER) AS corrected FROM ro WHERE coalesce(mm, 0) = 0
 UNION ALL SELECT sample, read_id, s1, q1, reverse(translate(s2, 'ACGTN', 'TGCAN')), reverse(q2),
   CAST(hamming(seq1, s1) + hamming(rc, s2) AS INTEGER) FROM c""")
