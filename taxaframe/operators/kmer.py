@@ -178,6 +178,16 @@ def _best_taxa(hits: pa.Array) -> pa.Array:
     )
 
 
+def lineages(index: DataFrame, names: DataFrame, root_rank: str = "R") -> DataFrame:
+    """K6: (taxid, lineage) of every node: the names on its path from below the root, joined by ';'. A name without a
+    rank prefix gets its rank's (``g__`` for rank G), blanks become underscores."""
+    text = F.when(F.col("name").rlike("^[a-z]__"), F.col("name")).otherwise(F.concat(F.lower(F.substring("rank", 1, 1)), F.lit("__"), F.col("name")))
+    known = names.filter(F.col("rank") != root_rank).select(F.col("taxid").cast("bigint").alias("node"), F.replace(text, F.lit(" "), F.lit("_")).alias("name"))
+    steps = index.select("taxid", F.posexplode(F.transform("path", lambda a: a["node"])).alias("depth", "node")).join(known, "node")
+    ordered = F.array_sort(F.collect_list(F.struct("depth", "name")))  # as long as the tree is deep
+    return steps.groupBy("taxid").agg(F.concat_ws(";", F.transform(ordered, lambda x: x["name"])).alias("lineage"))
+
+
 def classify(hits: DataFrame, index: DataFrame) -> DataFrame:
     """Per read, the hit taxon with the highest root-to-taxon score (hits on it and its
     ancestors); ties -> lowest common ancestor of the tied taxa, 0 if they have none. A hit taxon that the tree

@@ -100,11 +100,17 @@ def unclassified_remainder(long: DataFrame, eps: float = 1e-6) -> DataFrame:
     return rest.filter(F.col("abundance") > eps).select("sample", F.lit(UNCLASSIFIED_LINEAGE).alias("tax_id"), "abundance")
 
 
-def standardize_bracken(raw: DataFrame, level: str = "species", eps: float = 1e-6) -> DataFrame:
-    """Bracken profile -> long standard table; fractions are not re-divided."""
-    rows = level_rows(raw, level).select(
-        "sample", bracken_taxid("name").alias("tax_id"), F.col("fraction_total_reads").cast("double").alias("abundance")
-    )
+def standardize_bracken(raw: DataFrame, level: str = "species", eps: float = 1e-6, lineage: DataFrame | None = None) -> DataFrame:
+    """Bracken profile -> long standard table; fractions are not re-divided.
+
+    With ``lineage`` (taxid, lineage) a row takes the full lineage of its ``taxonomy_id``, so that genus
+    and other roll-ups work; a taxon without one keeps the name alone (K6).
+    """
+    rows, tax_id = level_rows(raw, level), bracken_taxid("name")
+    if lineage is not None:
+        rows = rows.join(lineage, F.col("taxonomy_id").cast("bigint") == F.col("taxid"), "left")
+        tax_id = F.coalesce("lineage", tax_id)
+    rows = rows.select("sample", tax_id.alias("tax_id"), F.col("fraction_total_reads").cast("double").alias("abundance"))
     return merge_samples(rows.unionByName(unclassified_remainder(rows, eps)))
 
 

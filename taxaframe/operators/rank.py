@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from taxaframe.functions.lineage import deepest_label, finite_or_zero, has_pipe
 from taxaframe.operators.pairs import TILE, pair_sums
+from taxaframe.session import stored
 
 OTHER = "Other"
 
@@ -68,6 +69,23 @@ def bar_data(long: DataFrame, n: int = 10) -> DataFrame:
     return stack_offsets(top_n_other(long, n))
 
 
+def numbered_within(df: DataFrame, label: str, order: list[str]) -> DataFrame:
+    """``df`` with ``_n``: the row's number from 1 among the rows of its label, by ``order``.
+
+    Rows are range-partitioned by (label, order), so a label that a third of all rows share lies in several
+    tasks. Each task numbers its own rows; the counts per (task, label) give the offset of a label's
+    later tasks. The partitioned rows are stored, as their numbers count on the ranges' borders.
+    """
+    dealt = df.repartitionByRange(label, *order).sortWithinPartitions(label, *order)
+    # the place of a row: its partition in the upper bits, its row there in the lower 33
+    rows = stored(dealt.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)), "ranges")
+    parts = rows.groupBy(F.col(label).alias("_label"), F.col("_part").alias("_p")).agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("_label").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    joined = rows.join(parts, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_part") == F.col("_p")))
+    return joined.withColumn("_n", F.col("_at") - F.col("_first") + F.col("_before") + 1).drop("_at", "_part", "_label", "_p", "_rows", "_first", "_before")
+
+
 def labels(taxa: DataFrame, key: str = "tax_id", ordinal: str | None = None) -> DataFrame:
     """W3 + F6: display label per taxon; '_1', '_2'… on every row when any lineage has a pipe.
 
@@ -75,10 +93,10 @@ def labels(taxa: DataFrame, key: str = "tax_id", ordinal: str | None = None) ->
     without one, by ``key``.
     """
     base = taxa.withColumn("label", deepest_label(key))
-    asv = taxa.select(F.bool_or(has_pipe(key))).scalar()
-    order_col = F.col(ordinal) if ordinal else F.col(key)
-    n = F.row_number().over(Window.partitionBy("label").orderBy(order_col, F.col(key)))
-    return base.withColumn("label", F.when(asv, F.concat_ws("_", F.col("label"), n.cast("string"))).otherwise(F.col("label")))
+    if not taxa.select(F.coalesce(F.bool_or(has_pipe(key)), F.lit(False))).first()[0]:
+        return base
+    order = [ordinal, key] if ordinal else [key]
+    return numbered_within(base, "label", order).withColumn("label", F.concat_ws("_", "label", F.col("_n").cast("string"))).drop("_n")
 
 
 def sample_order(samples: DataFrame, reference: str = "Reference") -> DataFrame:

@@ -91,6 +91,12 @@ FIXTURE_SQL: dict[str, str] = {
         "SELECT sample, p_name AS name, CASE WHEN p_size%5=0 THEN 'G' ELSE 'S' END AS taxonomy_lvl, sum(l_quantity) AS new_est_reads, "
         "0.98*sum(l_quantity)/sum(sum(l_quantity)) OVER (PARTITION BY sample) AS fraction_total_reads FROM {fx_base} GROUP BY 1,2,3"
     ),
+    # species rows with the ids of fx_taxonomy; some ids are unknown to it
+    "fx_profile_bracken_taxid": (
+        "SELECT sample, concat('Species ',cast(p_partkey as string)) AS name, CASE WHEN p_partkey%37=0 THEN 9000000 ELSE 0 END + p_partkey+1000 AS taxonomy_id, "
+        "CASE WHEN p_size%5=0 THEN 'G' ELSE 'S' END AS taxonomy_lvl, "
+        "0.98*sum(l_quantity)/sum(sum(l_quantity)) OVER (PARTITION BY sample) AS fraction_total_reads FROM {fx_base} GROUP BY 1,2,3,4"
+    ),
     "fx_mock_abundance": (
         "SELECT concat('ASV',cast(p_partkey as string)) AS asv, cast(p_size as double) AS mock_reference FROM {part}"
     ),

@@ -168,6 +168,13 @@ def q_consensus_base(fx):
     return _cons(fx)
 
 
+@query("consensus_breadth", f"""
+WITH {CONS}, dep AS (SELECT sample, marker_id, count(*) AS covered, CAST(sum(depth) AS BIGINT) AS bases FROM cons GROUP BY 1, 2)
+SELECT sample, marker_id, covered, bases, round(covered::DOUBLE / len, 9) AS breadth, round(bases::DOUBLE / len, 9) AS mean_depth FROM dep JOIN fx_marker USING (marker_id)""")
+def q_consensus_breadth(fx):
+    return ST.coverage(_aln(fx), fx.marker)
+
+
 @query("strain_retention", f"""
 WITH {CONS},
  cm AS (SELECT marker_id FROM fx_marker WHERE clade = '{CLADE}'),

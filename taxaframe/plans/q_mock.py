@@ -146,6 +146,18 @@ def q_mock_composition(fx):
     return M.mock_composition(long, ab, taxa, syn, n=15)
 
 
+_MOCK_COLUMNS = ["Mock1", "Mock2", "Reference", "mock3"]
+
+
+@query("mock_composition_wide", _COMPOSITION_SQL + "SELECT genus, " + ", ".join(
+    f"round(coalesce(sum(abundance) FILTER (WHERE sample = '{s}'), 0), 9) AS \"{s}\"" for s in _MOCK_COLUMNS) + " FROM comp GROUP BY genus")
+def q_mock_composition_wide(fx):
+    from taxaframe.sources.sinks import composition_wide
+
+    long, ab, taxa, syn = _inputs(fx)
+    return composition_wide(M.mock_composition(long, ab, taxa, syn, n=15), _MOCK_COLUMNS)
+
+
 @query("mock_bar_data", _COMPOSITION_SQL + """,
  bars AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY row_group, mean_abundance DESC NULLS LAST, genus) AS seg FROM comp),
  so AS (SELECT sample, row_number() OVER (ORDER BY sample <> 'Reference', sample) AS sample_rank FROM (SELECT DISTINCT sample FROM comp))

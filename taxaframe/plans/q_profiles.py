@@ -178,28 +178,44 @@ def q_unclassified_remainder(fx):
     return P.unclassified_remainder(rows)
 
 
-@query("bracken_standard", f"""
-WITH b AS (SELECT sample, 's__' || replace(name,' ','_') AS tax_id, fraction_total_reads AS abundance FROM fx_profile_bracken WHERE taxonomy_lvl='S'),
- r AS (SELECT * FROM b UNION ALL SELECT sample, '{U}', 1.0 - sum(abundance) FROM b GROUP BY sample HAVING 1.0 - sum(abundance) > 1e-6)
-SELECT sample, tax_id, round(sum(abundance), 9) AS abundance FROM r GROUP BY 1,2""")
+_BRACKEN_CTES = f"""b AS (SELECT sample, 's__' || replace(name,' ','_') AS tax_id, fraction_total_reads AS abundance FROM fx_profile_bracken WHERE taxonomy_lvl='S'),
+ r AS (SELECT * FROM b UNION ALL SELECT sample, '{U}', 1.0 - sum(abundance) FROM b GROUP BY sample HAVING 1.0 - sum(abundance) > 1e-6),
+ bs AS (SELECT sample, tax_id, sum(abundance) AS abundance FROM r GROUP BY 1,2)"""
+_MOTUS_CTES = f"""t AS (SELECT sample, regexp_replace(replace(CASE WHEN coalesce(contains(lower(motu),'unassigned'),false) THEN '{U}' ELSE taxonomy END,'d__','k__'),
+   's__Unknown[^;]*','s__Unclassified','g') AS tax_id, value FROM fx_profile_motus),
+ g AS (SELECT sample, tax_id, sum(value) AS abundance FROM t GROUP BY 1,2),
+ ms AS (SELECT sample, tax_id, coalesce(abundance / nullif(sum(abundance) OVER (PARTITION BY sample),0),0) AS abundance FROM g)"""
+
+
+@query("bracken_standard", f"WITH {_BRACKEN_CTES} SELECT sample, tax_id, round(abundance, 9) AS abundance FROM bs")
 def q_bracken_standard(fx):
     return P.standardize_bracken(fx.profile_bracken, "species")
 
 
-@query("motus_standard", f"""
-WITH t AS (SELECT sample, regexp_replace(replace(CASE WHEN coalesce(contains(lower(motu),'unassigned'),false) THEN '{U}' ELSE taxonomy END,'d__','k__'),
-   's__Unknown[^;]*','s__Unclassified','g') AS tax_id, value FROM fx_profile_motus),
- g AS (SELECT sample, tax_id, sum(value) AS abundance FROM t GROUP BY 1,2)
-SELECT sample, tax_id, round(coalesce(abundance / nullif(sum(abundance) OVER (PARTITION BY sample),0),0), 9) AS abundance FROM g""")
+@query("motus_standard", f"WITH {_MOTUS_CTES} SELECT sample, tax_id, round(abundance, 9) AS abundance FROM ms")
 def q_motus_standard(fx):
     return P.standardize_motus(fx.profile_motus)
 
 
-@query("merge_samples", f"WITH {STD_MARKER} SELECT sample, tax_id, round(abundance, 9) AS abundance FROM std")
-def q_merge_samples(fx):
+@query("marker_standard", f"WITH {STD_MARKER} SELECT sample, tax_id, round(abundance, 9) AS abundance FROM std")
+def q_marker_standard(fx):
     return fx.profiles_long
 
 
+# three tools' tables of the same samples, each tool's samples under its own names
+@query("merge_samples", f"""
+WITH {STD_MARKER}, {_BRACKEN_CTES}, {_MOTUS_CTES},
+ u AS (SELECT sample || '_metaphlan4' AS sample, tax_id, abundance FROM std UNION ALL SELECT sample || '_bracken', tax_id, abundance FROM bs
+   UNION ALL SELECT sample || '_motus', tax_id, abundance FROM ms UNION ALL SELECT sample || '_motus', '{U}', 0.0 FROM ms)
+SELECT sample, tax_id, round(sum(abundance), 9) AS abundance FROM u GROUP BY 1, 2""")
+def q_merge_samples(fx):
+    named = lambda df, tool: df.withColumn("sample", F.concat("sample", F.lit(f"_{tool}")))
+    motus = named(P.standardize_motus(fx.profile_motus), "motus")
+    # every mOTUs sample also comes with an Unclassified row of 0, so keys repeat across the merged tables
+    zero = named(fx.profile_motus.select("sample").distinct(), "motus").select("sample", F.lit(P.UNCLASSIFIED_LINEAGE).alias("tax_id"), F.lit(0.0).alias("abundance"))
+    return P.merge_samples(named(fx.profiles_long, "metaphlan4"), named(P.standardize_bracken(fx.profile_bracken, "species"), "bracken"), motus, zero)
+
+
 @query("mean_abundance", f"""
 WITH {STD_MARKER}
 SELECT tax_id, round(sum(abundance) / (SELECT count(DISTINCT sample) FROM std), 9) AS mean_abundance FROM std GROUP BY 1""")

@@ -88,6 +88,8 @@ def read_motus(spark: SparkSession, paths) -> DataFrame:
     """mOTUs profiles (header after comments; value column named after the sample, read by position)."""
     df = _read_tsv(spark, paths, header=True)
     cols = df.columns
+    if len(cols) < 3:
+        raise ValueError(f"mOTUs input needs a name, a taxonomy and a value column; found {cols}")
     return df.select(
         sample_name(F.col("_metadata.file_path"), "motus").alias("sample"),
         F.col(f"`{cols[0]}`").alias("motu"),
@@ -120,3 +122,28 @@ def unpivot_long(wide: DataFrame, key: str = "tax_id") -> DataFrame:
     samples = [c for c in wide.columns if c != key]
     w = wide.select(key, *[F.col(f"`{s}`").cast("double").alias(s) for s in samples])
     return w.unpivot(key, samples, "sample", "abundance")
+
+
+def read_profiles(spark: SparkSession, paths: list[str], level: str = "species") -> tuple[str, DataFrame]:
+    """S7 -> S4, S5 or S6 -> standardised: the tool that all paths name, and their merged long table (sample, tax_id, abundance).
+
+    Mixed, unknown or missing tools are an error, as is a file whose columns are not the tool's.
+    """
+    from taxaframe.operators import profiles as P
+
+    tool = require_tool(spark.createDataFrame([(p,) for p in paths], "path string"))
+    if tool == "bracken":
+        return tool, P.standardize_bracken(read_bracken(spark, paths), level)
+    if level != "species":
+        raise ValueError(f"{tool} profiles are standardised at species level; {level!r} was asked for")
+    if tool == "motus":
+        return tool, P.standardize_motus(read_motus(spark, paths))
+    return tool, P.standardize_marker(read_metaphlan(spark, paths))
+
+
+def standardize_files(spark: SparkSession, paths: list[str], out_dir: str, run_id: str, samples: list[str], level: str = "species") -> str:
+    """S7 to S12 as one job: detect the tool, check and read the files, standardise, merge, write. Returns the wide table's path."""
+    from taxaframe.sources.sinks import write_standard
+
+    tool, long = read_profiles(spark, paths, level)
+    return write_standard(long, out_dir, tool, run_id, level, samples)

@@ -1,9 +1,8 @@
 """Samplesheet, paired FASTQ, mock-reference and synonym sources.
 
-The FASTQ source is a Python Data Source (``spark.read.format("fastq_pairs")``):
-one input partition per file pair, records parsed four lines at a time from both
-mates in lockstep. gzip is not splittable, so a pair is one task; convert once to
-Parquet (``sinks.write_reads``) and run everything else on the columnar copy.
+``read_fastq_pairs`` reads pairs in byte ranges (``sources.fastq``). The Python Data Source
+(``spark.read.format("fastq_pairs")``) is the serial form for local files: one input partition per
+file pair, records parsed four lines at a time from both mates in lockstep.
 """
 
 from __future__ import annotations
@@ -112,9 +111,13 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(FastqPairsDataSource)
 
 
-def read_fastq_pairs(spark: SparkSession, samplesheet: str) -> DataFrame:
-    register(spark)
-    return spark.read.format("fastq_pairs").option("samplesheet", samplesheet).load()
+def read_fastq_pairs(spark: SparkSession, samplesheet: str, split_bytes: int = 64 << 20) -> DataFrame:
+    """S3: all pairs of a samplesheet, read in byte ranges (see ``sources.fastq``). Relative paths start at the sheet's folder."""
+    from taxaframe.sources.fastq import read_pairs
+
+    base = samplesheet.rsplit("/", 1)[0] if "/" in samplesheet else "."
+    full = [F.when(F.col(c).rlike("^(/|[a-z0-9]+:)"), F.col(c)).otherwise(F.concat(F.lit(f"{base}/"), F.col(c))).alias(c) for c in ("read1", "read2")]
+    return read_pairs(read_samplesheet(spark, samplesheet).select("sample", *full), split_bytes)
 
 
 def read_mock(spark: SparkSession, abundance_path: str, taxa_path: str) -> tuple[DataFrame, DataFrame]:
