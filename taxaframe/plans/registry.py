@@ -53,6 +53,7 @@ def load_all() -> dict[str, Query]:
         q_profiles,
         q_qc,
         q_reads,
+        q_sources,
     )
 
     return REGISTRY
