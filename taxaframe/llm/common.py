@@ -123,7 +123,7 @@ class _Memo(dict):
     """A bounded dict that fills itself. It keeps two generations of at most ``limit`` keys; keys
     used again move on, the rest are forgotten, so memory is bounded and frequent keys stay."""
 
-    def __init__(self, make, limit: int = 100_000):
+    def __init__(self, make, limit: int = 250_000):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
@@ -144,13 +144,21 @@ class _Joined(Exception):
     """A text whose spaces are no safe places to cut it."""
 
 
+#: Texts on which the cuts of a tokenizer file are tried; a file that cuts elsewhere is left to the library.
+_PROBES = [
+    "The quick, brown fox.", "don't l'été 3.14 x12y", "a\nb c\n\nd \n e", "ÀÉÎ œuvre ß", "(a-b) #1 $x% & *y*", "AKIAIOSFODNN7 x_y z=1;", "  two  spaces ", "a\n", "\nb",
+    "tab\tand\r\nmore", "漢字 and 🙂 mixed…", "UPPER lower MiXeD 12 345", "x" * 30 + " " + "y" * 5, "http://a.b/c?d=e", "e\u0301 <|endoftext|> </s>",
+]
+
+
 class CachedEncoder:
     """Ids of whole texts by a ``tokenizers`` file, with the ids of repeated words remembered.
 
-    Both vocabularies split a text into pre-tokens before merging. Texts are cut at places
+    The two kinds of files known here (byte-level and lower-casing word BPE) split a text into pre-tokens before merging. Texts are cut at places
     where a pre-token surely ends (a single space between two visible characters; changes
     between letters, digits and marks), the parts are encoded by the library and remembered.
-    Anything else is handed to the library whole, so the ids are the library's in all cases.
+    Anything else is handed to the library whole, as is every text if the file gives other ids for the
+    probe texts, so the ids are the library's in all cases.
     """
 
     def __init__(self, path: str):
@@ -169,12 +177,24 @@ class CachedEncoder:
         self.space = self.table[ord(" ")]
         self.part = _Memo(self._merge)
         self.word = _Memo(self._spaced_word if self.keeps_space else self._unspaced)
+        self.known = True
+        self.known = self._agrees()
+
+    def _agrees(self) -> bool:
+        try:
+            return all(self.ids(t) == self._encode(t) for t in _PROBES)
+        except Exception:  # a model or normalizer that the cuts do not fit, in whatever way
+            return False
 
     def _encode(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def _merge(self, part: str) -> bytes:
         """Ids of one pre-token of known characters, by the library's merges alone."""
+        if part.isascii():  # ASCII letters stand for themselves
+            word = part.removeprefix(" ")
+            if word.isalpha():
+                return self._merged(word if word is part else self.space + word)
         return self._merged(part.translate(self.table))
 
     def _merged(self, part: str) -> bytes:
@@ -203,10 +223,28 @@ class CachedEncoder:
                 out.append(self._encode(chunk))
         return b"".join(out)
 
+    def _plain(self, text: str) -> list[str] | None:
+        """The pre-tokens of a text of known characters only, None for any other text."""
+        if self.keeps_space:
+            # runs of spaces and newlines that do not stand alone are left to the library
+            if "\n\n" in text or "\n " in text or text[0] == "\n" or text[-1] == "\n":
+                return None
+            parts = _PARTS.findall(text)
+            return parts if sum(map(len, parts)) == len(text) else None
+        text = text.lower()
+        parts = _CORES.findall(text)
+        return parts if sum(map(len, parts)) + sum(map(text.count, " \n\t\r")) == len(text) else None
+
     def ids(self, text: str | None) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        if not self.known:
+            return self._encode(text)
+        parts = self._plain(text)
+        if parts is not None:
+            part = self.part
+            return b"".join([part[p] for p in parts])
         words = text.split(" ")
         if not self.keeps_space:
             return b"".join(map(self.word.__getitem__, words))

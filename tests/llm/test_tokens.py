@@ -34,6 +34,29 @@ def test_cached_ids_are_the_librarys(name):
         assert np.frombuffer(enc.ids(text), "<u4").tolist() == plain(name, text), repr(text)[:200]
 
 
+    assert enc.known
+    plain_pool = ["a", "the", "The", "ndsh", "é", "Über", ",", ".", "!?", "7", "42", "\n", "\n", "\n\n", " ", " ", " ", "  ", "\t"]
+    for _ in range(3000):
+        text = "".join(draw.choices(plain_pool, k=draw.randrange(1, 12)))
+        assert np.frombuffer(enc.ids(text), "<u4").tolist() == plain(name, text), repr(text)
+
+
+def test_another_tokenizer_is_left_to_the_library(tmp_path):
+    from tokenizers import models, normalizers, pre_tokenizers
+
+    vocab = {w: i for i, w in enumerate(["[UNK]", "the", "fox", ",", "a", "-", "b"])}
+    for name, pre, norm in (("split", pre_tokenizers.Whitespace(), None), ("upper", pre_tokenizers.WhitespaceSplit(), normalizers.Lowercase())):
+        t = Tokenizer(models.WordLevel(vocab, unk_token="[UNK]"))
+        t.pre_tokenizer = pre
+        if norm:
+            t.normalizer = norm
+        t.save(str(tmp_path / f"{name}.json"))
+        enc = CachedEncoder(str(tmp_path / f"{name}.json"))
+        assert not enc.known
+        for text in ("the fox, a-b", "The\nfox", "", " a"):
+            assert np.frombuffer(enc.ids(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_simple8b_round_trip():
     draw = np.random.default_rng(0)
     cases = [[], [0], [0] * 500, [1 << 59], [1 << 60, 5, (1 << 64) - 1, (15 << 60) + 3, 7], list(range(300)), draw.integers(0, 1 << 16, 5000), draw.integers(0, 3, 777)]
