@@ -31,7 +31,6 @@ class Kind:
     pattern: str  # leftmost non-overlapping matches
     value_group: int = 0  # the secret part
     least: int = 1  # matches with a shorter secret part are dropped
-    hint: str | None = None  # a cheap pattern that every match contains
     fold: str | None = None  # left out of the secret part: layout that differs between copies of a value
 
 
@@ -49,7 +48,8 @@ _KEY_LINES = r"""(?:(?:\\[nrt]|[\s"'+,>#*])*+(?:(?:Proc-Type|DEK-Info|Version|Co
 MORE = (
     Kind("bearer", r"(?i)bearer\x20+([A-Za-z0-9+/_.=-]{20,})", 1, 20),
     Kind("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D/:@]++:([^\x20\x09-\x0D/:@]{6,}+)@", 1, 6),
-    Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 20),
+    # begins a run of its characters and gives nothing back, so that a run is read once
+    Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 20),
     Kind("prefixed", r"(?:gh[pousr]_|sk_live_|xox[abprs]-)[A-Za-z0-9-]{16,}", 0, 20),
     Kind("private_key", f"{_KEY}({_KEY_BODY}|{_KEY_LINES})(?:{_KEY_END})?+", 1, 1, fold=r"""\\[nrt]|[\s"',]"""),
 )

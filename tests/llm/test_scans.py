@@ -72,6 +72,17 @@ def test_ownership_separates_examples_from_live(spark):
     assert out[9] == "[secret] and password=examplevalue1" and out[0] == texts[0] and len(out) == 20
 
 
+def test_long_runs_are_read_in_linear_time(spark):
+    import time
+
+    run = "eyJ" * 300_000
+    texts = [run, "x" + run + ".y", "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2QT4", "a.eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2QT4 end", "password " * 100_000, "bearer " * 100_000]
+    began = time.time()
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan_documents(docs(spark, texts)).collect()}
+    assert time.time() - began < 60
+    assert got == {0: "", 1: "", 2: f"jwt:0:{len(texts[2])}", 3: f"jwt:2:{len(texts[2]) + 2}", 4: "", 5: ""}
+
+
 def test_private_keys_and_long_passwords_are_values_of_their_own(spark):
     draw = random.Random(12)
     key = lambda n=4: "\n".join("".join(draw.choices("ABCxyz0189+/", k=64)) for _ in range(n)) + "\n" + "".join(draw.choices("ABCxyz0189", k=22)) + "=="
