@@ -5,9 +5,12 @@ from __future__ import annotations
 import re
 import uuid
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,11 +122,27 @@ _SOLID = r"!-~¡-ᙿ、-퟿"
 _ENDS = re.compile(rf"[{_SOLID}](?:.*[{_SOLID}])?", re.S)
 
 
+_PIECE = 8 << 20  # bytes of text that are cut at once
+
+
+def _classes(space: str, line: str) -> np.ndarray:
+    """Class of each byte: 1 letter, 2 digit, 3 mark, 4 space, 5 newline, 0 anything else."""
+    out = np.zeros(256, np.uint8)
+    for kind, pattern in ((1, "[A-Za-z]"), (2, "[0-9]"), (3, f"[{_P}]"), (4, f"[{space}]"), (5, f"[{line}]" if line else "$.")):
+        out[[c for c in range(128) if re.match(pattern, chr(c))]] = kind
+    return out
+
+
+_CLASS, _CLASS_WORD = _classes(" ", "\n"), _classes(" \n\t\r", "")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
 class _Memo(dict):
     """A bounded dict that fills itself. It keeps two generations of at most ``limit`` keys; keys
     used again move on, the rest are forgotten, so memory is bounded and frequent keys stay."""
 
-    def __init__(self, make, limit: int = 250_000):
+    def __init__(self, make, limit: int):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
@@ -175,8 +194,8 @@ class CachedEncoder:
         known = re.findall(rf"[{_L}{_P}0-9 \n]", "".join(map(chr, range(256))))
         self.table = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in known}
         self.space = self.table[ord(" ")]
-        self.part = _Memo(self._merge)
-        self.word = _Memo(self._spaced_word if self.keeps_space else self._unspaced)
+        self.part = _Memo(self._merge, 400_000)
+        self.word = _Memo(self._spaced_word if self.keeps_space else self._unspaced, 100_000)
         self.known = True
         self.known = self._agrees()
 
@@ -191,6 +210,8 @@ class CachedEncoder:
 
     def _merge(self, part: str) -> bytes:
         """Ids of one pre-token of known characters, by the library's merges alone."""
+        if part.isspace() and not self.keeps_space:
+            return b""
         if part.isascii():  # ASCII letters stand for themselves
             word = part.removeprefix(" ")
             if word.isalpha():
@@ -198,7 +219,10 @@ class CachedEncoder:
         return self._merged(part.translate(self.table))
 
     def _merged(self, part: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
+        found = self.model.tokenize(part)
+        if len(found) == 1:
+            return found[0].id.to_bytes(4, "little")
+        return array("I", [t.id for t in found]).tobytes()
 
     def _spaced_word(self, word: str) -> bytes:
         if word.isalpha() and word.isascii():  # one pre-token; ASCII letters stand for themselves
@@ -243,8 +267,7 @@ class CachedEncoder:
             return self._encode(text)
         parts = self._plain(text)
         if parts is not None:
-            part = self.part
-            return b"".join([part[p] for p in parts])
+            return b"".join(map(self.part.__getitem__, parts))
         words = text.split(" ")
         if not self.keeps_space:
             return b"".join(map(self.word.__getitem__, words))
@@ -254,6 +277,88 @@ class CachedEncoder:
             return self._encode(text)
 
 
+    def ids_of(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Ids of a string array without nulls, a few megabytes at a time: (first text, last + 1, ids per text, all ids).
+
+        Texts of known characters are cut into pre-tokens by the classes of their bytes, all at once;
+        each distinct pre-token of a piece is looked up once, and ids are gathered by offsets.
+        """
+        if not pa.types.is_string(texts.type):
+            texts = texts.cast(pa.string())
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _PIECE, "right")))
+            yield at, end, *self._piece(texts.slice(at, end - at))
+            at = end
+
+    def _piece(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        fine, cut = self._cut(texts) if self.known else (np.zeros(len(texts), bool), None)
+        if not fine.all():
+            rest = np.flatnonzero(~fine)
+            other = [np.frombuffer(self.ids(texts[int(i)].as_py()), "<u4") for i in rest]
+            counts = np.zeros(len(texts), np.int64)
+            counts[rest] = [len(x) for x in other]
+            if fine.any():
+                counts[fine], ids = self._gather(*self._cut(texts.filter(pa.array(fine)))[1])
+            else:
+                ids = np.zeros(0, "<u4")
+            out, starts = np.empty(int(counts.sum()), "<u4"), np.cumsum(counts) - counts
+            own = np.repeat(fine, counts)
+            out[own] = ids
+            for i, x in zip(rest, other):
+                out[starts[i] : starts[i] + len(x)] = x
+            return counts, out
+        return self._gather(*cut)
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, tuple[pa.Array, np.ndarray]]:
+        """Whether each text has known characters only, and of all texts the pre-tokens and where each text's begin."""
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        buf = (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8))[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        kind = (_CLASS if self.keeps_space else _CLASS_WORD)[buf]
+        lead = np.flatnonzero(buf == 0xC3)
+        if len(lead):  # the two bytes of a Latin letter
+            second = buf[np.minimum(lead + 1, len(buf) - 1)]
+            letter = (second >= 0x80) & (second <= 0xBF) & (second != 0x97) & (second != 0xB7)
+            kind[lead[letter]] = kind[lead[letter] + 1] = 1
+        if not self.keeps_space:
+            buf = _LOWER[buf]
+            if len(lead):
+                upper = lead[letter & (second <= 0x9E)] + 1
+                buf[upper] += 0x20
+        first = np.zeros(len(buf) + 1, bool)  # of a text; the end counts
+        first[offsets] = True
+        odd = kind == 0
+        before, space, line = np.concatenate([kind[:1], kind[:-1]]), kind == 4, kind == 5
+        begins = kind != before
+        if self.keeps_space:
+            after = np.concatenate([kind[1:], kind[:0], [4]])[: len(kind)]
+            odd |= (space | line) & ((after >= 4) | first[1:]) | line & first[:-1]
+            begins &= before != 4  # a space belongs to what follows it
+        else:
+            begins |= kind == 2  # digits stand alone
+        begins |= first[:-1]
+        fine = np.ones(len(texts), bool)
+        fine[np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1] = False
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts, len(buf)).astype(np.int32)
+        # a cut within a letter of an unknown text would be no text: such parts stay bytes
+        parts = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(buf))])
+        return fine, (parts, np.searchsorted(starts, offsets))
+
+    def _gather(self, parts: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        coded = parts.dictionary_encode()
+        found = [self.part[p] for p in coded.dictionary.cast(pa.string()).to_pylist()]
+        size = np.array([len(x) // 4 for x in found], np.int64)
+        flat, index = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy(zero_copy_only=False)
+        each = size[index] if len(index) else np.zeros(0, np.int64)
+        upto = np.concatenate([[0], np.cumsum(each)])
+        ids = flat[np.repeat((np.cumsum(size) - size)[index] - upto[:-1], each) + np.arange(upto[-1])] if len(index) else np.zeros(0, "<u4")
+        return np.diff(upto[first]), ids
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> CachedEncoder:
     """The encoder of a Python worker, kept between its tasks."""

@@ -89,6 +89,13 @@ def pack_rests(rests: list[int], tiers: list[int]) -> list[list[tuple[int, int,
     return windows
 
 
+def _documents(enc, batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(id, token ids) of a batch's documents."""
+    names = batch.column(0).to_pylist()
+    for lo, hi, counts, ids in enc.ids_of(batch.column(1)):
+        yield from zip(names[lo:hi], np.split(ids, np.cumsum(counts)[:-1]))
+
+
 def _pack(path: str, end_id: int | None, tiers: list[int], group_docs: int, step_tokens: int):
     top = max(tiers)
     tail = np.array([] if end_id is None else [end_id], "<u4")
@@ -127,8 +134,8 @@ def _pack(path: str, end_id: int | None, tiers: list[int], group_docs: int, step
         held: list[tuple] = []
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(np.frombuffer(enc.ids(text.as_py()), "<u4"), tail)
+            for doc_id, own in _documents(enc, batch):
+                ids = np.append(own, tail)
                 full = len(ids) // top * top
                 for s in range(0, full, top):
                     group = step_of(top)

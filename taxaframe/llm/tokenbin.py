@@ -112,14 +112,14 @@ _BLOCK = "file_no int, block_no int, file_start long, n_ids long, doc_ids array<
 def _blocks(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, file_no = encoder(path), TaskContext.get().partitionId()
-        tail = np.array([end_id], "<u4").tobytes()
+        tail = np.array([end_id], "<u4")
         block_no = file_start = size = held_ids = 0
         ids, offsets, counts, words, held = [], [], [], [], []
 
         def code():
             nonlocal size, held_ids, held
-            own = np.array([len(x) // 4 for x in held], np.int64)
-            coded, at = encode_ids(np.frombuffer(b"".join(held), "<u4"), own)
+            own = np.array([len(x) + 1 for x in held[::2]], np.int64)
+            coded, at = encode_ids(np.concatenate(held), own)
             offsets.extend((at + size).tolist())
             counts.extend(own.tolist())
             words.append(coded.astype("<u8").tobytes())
@@ -137,14 +137,16 @@ def _blocks(path: str, end_id: int):
             return row
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids.append(doc_id)
-                held.append(enc.ids(text.as_py()) + tail)
-                held_ids += len(held[-1]) // 4
-                if held_ids >= BLOCK_WORDS:  # documents are coded in groups
-                    code()
-                    if size >= BLOCK_WORDS:
-                        yield flush()
+            names = batch.column(0).to_pylist()
+            for lo, hi, sizes, found in enc.ids_of(batch.column(1)):
+                for doc_id, own in zip(names[lo:hi], np.split(found, np.cumsum(sizes)[:-1])):
+                    ids.append(doc_id)
+                    held += [own, tail]
+                    held_ids += len(own) + 1
+                    if held_ids >= BLOCK_WORDS:  # documents are coded in groups
+                        code()
+                        if size >= BLOCK_WORDS:
+                            yield flush()
         if held:
             code()
         if ids:

@@ -3,6 +3,7 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -41,6 +42,25 @@ def test_cached_ids_are_the_librarys(name):
         assert np.frombuffer(enc.ids(text), "<u4").tolist() == plain(name, text), repr(text)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_arrays_are_the_librarys(name, monkeypatch):
+    from taxaframe.llm import common
+
+    monkeypatch.setattr(common, "_PIECE", 300)
+    enc, draw = CachedEncoder(str(P.path(name))), random.Random(5)
+    pool = ["a", "the", "The", "ndsh", "é", "Über", "×", "÷", "Þ", "ß", "ÿ", "À", ",", ".", "!?", "'", "7", "42", "\n", "\n\n", " ", " ", " ", "  ", "\t", "\r", "漢", "🙂", "\x00", "Ä", "İ"]
+    texts = ["".join(draw.choices(pool[: draw.choice([8, 20, len(pool)])], k=draw.randrange(0, 14))) for _ in range(4000)] + [t or "" for t in odd_texts()] + ["", "", "Ã", "\n", " "]
+    array = pa.array(["dropped", *texts]).slice(1)
+    seen = 0
+    for lo, hi, counts, ids in enc.ids_of(array):
+        assert lo == seen and len(counts) == hi - lo and counts.sum() == len(ids)
+        seen, at = hi, 0
+        for i, n in enumerate(counts):
+            assert ids[at : at + n].tolist() == plain(name, texts[lo + i]), repr(texts[lo + i])[:200]
+            at += n
+    assert seen == len(texts) and not list(enc.ids_of(pa.array([], pa.string())))
+
+
 def test_another_tokenizer_is_left_to_the_library(tmp_path):
     from tokenizers import models, normalizers, pre_tokenizers
 
