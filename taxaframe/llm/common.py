@@ -122,9 +122,6 @@ _SOLID = r"!-~¡-ᙿ、-퟿"
 _ENDS = re.compile(rf"[{_SOLID}](?:.*[{_SOLID}])?", re.S)
 
 
-_PIECE = 8 << 20  # bytes of text that are cut at once
-
-
 def _classes(space: str, line: str) -> np.ndarray:
     """Class of each byte: 1 letter, 2 digit, 3 mark, 4 space, 5 newline, 0 anything else."""
     out = np.zeros(256, np.uint8)
@@ -180,9 +177,11 @@ class CachedEncoder:
     probe texts, so the ids are the library's in all cases.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = 100_000, piece: int = 2 << 20):
+        """``memo``: pre-tokens remembered; ``piece``: bytes of text that are cut at once. Both bound memory only."""
         import os
 
+        self.piece = piece
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -194,8 +193,8 @@ class CachedEncoder:
         known = re.findall(rf"[{_L}{_P}0-9 \n]", "".join(map(chr, range(256))))
         self.table = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in known}
         self.space = self.table[ord(" ")]
-        self.part = _Memo(self._merge, 400_000)
-        self.word = _Memo(self._spaced_word if self.keeps_space else self._unspaced, 100_000)
+        self.part = _Memo(self._merge, memo)
+        self.word = _Memo(self._spaced_word if self.keeps_space else self._unspaced)
         self.known = True
         self.known = self._agrees()
 
@@ -288,7 +287,7 @@ class CachedEncoder:
         sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < len(texts):
-            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _PIECE, "right")))
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + self.piece, "right")))
             yield at, end, *self._piece(texts.slice(at, end - at))
             at = end
 
@@ -360,6 +359,6 @@ class CachedEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> CachedEncoder:
+def encoder(path: str, memo: int = 100_000, piece: int = 2 << 20) -> CachedEncoder:
     """The encoder of a Python worker, kept between its tasks."""
-    return CachedEncoder(path)
+    return CachedEncoder(path, memo, piece)

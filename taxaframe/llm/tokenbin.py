@@ -111,7 +111,7 @@ _BLOCK = "file_no int, block_no int, file_start long, n_ids long, doc_ids array<
 
 def _blocks(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, file_no = encoder(path), TaskContext.get().partitionId()
+        enc, file_no = encoder(path, 400_000, 8 << 20), TaskContext.get().partitionId()
         tail = np.array([end_id], "<u4")
         block_no = file_start = size = held_ids = 0
         ids, offsets, counts, words, held = [], [], [], [], []
