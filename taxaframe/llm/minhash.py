@@ -11,7 +11,8 @@ trees bring the recall to its target (16 trees: a miss below 1e-6 for pairs in s
 
 Comparison is in two steps: sketches (a pair must agree in all but five standard deviations
 of the positions expected at the threshold) name clusters of classes, equal clusters of several
-trees are folded to one, and full shingle sets confirm every link exactly. A cluster sends
+trees are folded to one, and full shingle sets confirm every link exactly, in tiles of about ``tile_bytes``
+of a cluster's shingles, so long texts in a large cluster need no more memory. A cluster sends
 star edges of its confirmed components, not all pairs. Components come from alternating
 large-star and small-star rounds over stored edge tables; nothing is collected.
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -165,41 +167,62 @@ def _clusters(percent: int, positions: int):
     return run
 
 
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """(cluster, k, parts of sets) of each tile of batches sorted by cluster and tile; one tile is held at a time."""
+    name, k, parts = None, [], []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cluster, tile, own, blobs = *(batch.column(c).to_numpy() for c in range(3)), batch.column(3)
+        cut = (np.flatnonzero((np.diff(cluster) != 0) | (np.diff(tile) != 0)) + 1).tolist()
+        for a, b in zip([0, *cut], [*cut, len(own)]):
+            if (cluster[a], tile[a]) != name:
+                if name:
+                    yield name[0], np.concatenate(k), parts
+                name, k, parts = (cluster[a], tile[a]), [], []
+            k.append(own[a:b].copy())
+            parts += [np.frombuffer(blobs[i].as_py(), np.uint64) for i in range(a, b)]
+    if name:
+        yield name[0], np.concatenate(k), parts
+
+
+def _add_shared(common: np.ndarray, row: np.ndarray, parts: list[np.ndarray]) -> None:
+    """Adds to ``common`` the sizes of the intersections of the rows' parts."""
+    _, column, uses = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    row = np.repeat(row, [len(s) for s in parts])
+    twice = uses[column] > 1  # what one set alone holds is in no intersection
+    column, row = (np.cumsum(uses > 1) - 1)[column[twice]], row[twice]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    width = min(4096, max(1, int((uses > 1).sum())))
+    edges = np.searchsorted(column, np.arange(0, int((uses > 1).sum()) + width, width))
+    for c, (a, b) in enumerate(zip(edges, edges[1:])):
+        block = np.zeros((len(common), width), np.float32)
+        block[row[a:b], column[a:b] - c * width] = 1
+        common += block @ block.T
+
+
 def _confirm(percent: int):
-    def shared(sets: list[np.ndarray]) -> np.ndarray:
-        m = len(sets)
-        _, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        row = np.repeat(np.arange(m), [len(s) for s in sets])
-        common = np.zeros((m, m), np.float64)
-        twice = uses[column] > 1  # what one set alone holds is in no intersection
-        column, row = (np.cumsum(uses > 1) - 1)[column[twice]], row[twice]
-        order = np.argsort(column, kind="stable")
-        column, row = column[order], row[order]
-        width = min(4096, max(1, int((uses > 1).sum())))
-        edges = np.searchsorted(column, np.arange(0, int((uses > 1).sum()) + width, width))
-        for c, (a, b) in enumerate(zip(edges, edges[1:])):
-            block = np.zeros((m, width), np.float32)
-            block[row[a:b], column[a:b] - c * width] = 1
-            common += block @ block.T
-        return common
+    """Star edges of each cluster's components by full sets. A cluster comes as tiles (ranges of shingle hashes, every member in
+    each); intersections are summed tile by tile, so a task holds one tile and one matrix of members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches):
-            cluster, k, blobs = table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(2)
-            left, right = [], []
-            for a, b in _bounds(cluster):
-                sets = [np.frombuffer(blobs[i].as_py(), np.uint64) for i in range(a, b)]
-                size = np.array([len(s) for s in sets])
-                common = shared(sets)
-                linked = np.zeros(common.shape, bool)
-                for r in range(0, b - a, 256):  # bounded memory
-                    linked[r : r + 256] = 100 * common[r : r + 256] >= percent * (size[r : r + 256, None] + size - common[r : r + 256])
-                np.fill_diagonal(linked, True)
-                label = _components(linked)
-                far = np.flatnonzero(label != np.arange(b - a))
-                left.append(k[a + label[far]])
-                right.append(k[a + far])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+        for _, tiles in groupby(_tiles(batches), key=lambda tile: tile[0]):
+            members = None
+            for _, k, parts in tiles:
+                if members is None:
+                    members = np.unique(k)
+                    common, size = np.zeros((len(members), len(members)), np.float64), np.zeros(len(members), np.int64)
+                row = np.searchsorted(members, k)
+                np.add.at(size, row, [len(s) for s in parts])
+                _add_shared(common, row, parts)
+            linked = np.zeros(common.shape, bool)
+            for r in range(0, len(members), 256):  # bounded memory
+                linked[r : r + 256] = 100 * common[r : r + 256] >= percent * (size[r : r + 256, None] + size - common[r : r + 256])
+            np.fill_diagonal(linked, True)
+            label = _components(linked)
+            far = np.flatnonzero(label != np.arange(len(members)))
+            yield pa.RecordBatch.from_arrays([pa.array(members[label[far]]), pa.array(members[far])], names=["a", "b"])
 
     return run
 
@@ -222,7 +245,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 80, width: int = 5, trees: int = 16, positions: int = 64, leaf: int = 2048, depth: int = 5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, percent: int = 80, width: int = 5, trees: int = 16, positions: int = 64, leaf: int = 2048, depth: int = 5, tile_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links
     of Jaccard similarity >= ``percent``/100, its own included) and kept (doc_id = component_id)."""
@@ -259,20 +282,40 @@ def near_duplicates(
     sorted_by = lambda df, key: df.repartition(key).sortWithinPartitions(key)
     compared = members.join(classes.select("k", "n", "mh"), "k").select("node", "k", "n", "mh")
     clusters = stored(sorted_by(compared, "node").mapInArrow(_clusters(percent, positions), "cluster long, k long").distinct(), "clusters")
-    wanted = clusters.select("k").distinct().join(classes.select("k", "first_id"), "k")
+    # a cluster is confirmed in ``tiles`` ranges of shingle hashes (a power of two), each of about ``tile_bytes``;
+    # a class's set is cut into as many parts as its largest cluster has tiles
+    bytes_of = clusters.join(classes.select("k", "n"), "k").groupBy("cluster").agg((F.sum("n") * 8).alias("bytes"))
+    tiles = F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("bytes") / F.lit(tile_bytes))))
+    tiled = stored(clusters.join(bytes_of.select("cluster", F.pow(F.lit(2.0), F.least(tiles, F.lit(30.0))).cast("long").alias("tiles")), "cluster"), "tiled")
+    wanted = tiled.groupBy("k").agg(F.max("tiles").alias("parts")).join(classes.select("k", "first_id"), "k")
+    wanted = stored(wanted.select("k", "first_id", "parts"), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            ids, parts, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for a, b in pieces_by_bytes(texts):
-                got = shingle_sets(texts[a:b], width)
-                names = [int(mix64(np.array([np.add.reduce(s)], np.uint64)).view(np.int64)[0]) if len(s) else 0 for s in got]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([s.tobytes() for s in got], pa.binary())], names=["k", "set"])
-
-    texts = own.join(wanted.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi").select("t")
-    texts = texts.unionAll(own.filter("doc_id IS NULL").select("t"))  # classes of null ids alone may still link others
-    full = texts.mapInArrow(sets, "k long, set binary").join(wanted.select("k"), "k", "left_semi").dropDuplicates(["k"])
-    links = sorted_by(clusters.join(full, "k").select("cluster", "k", "set"), "cluster").mapInArrow(_confirm(percent), "a long, b long")
+                rows = []
+                for i, own_set in zip(range(a, b), shingle_sets(texts[a:b], width)):
+                    name = int(mix64(np.array([np.add.reduce(own_set)], np.uint64)).view(np.int64)[0]) if len(own_set) else 0
+                    # part p: hashes whose highest bits are p; the set is sorted
+                    cuts = np.searchsorted(own_set >> _U(34), np.arange(1, parts[i]).astype(np.uint64) * _U((1 << 30) // parts[i]))
+                    rows += [(name, ids[i], parts[i], p, x.tobytes()) for p, x in enumerate(np.split(own_set, cuts))]
+                k, doc_id, of, part, found = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k, pa.int64()), pa.array(doc_id, pa.int64()), pa.array(of, pa.int64()), pa.array(part, pa.int64()), pa.array(found, pa.binary())], names=["k", "id", "of", "part", "set"]
+                )
+
+    texts = own.join(wanted.filter("first_id IS NOT NULL").groupBy(F.col("first_id").alias("doc_id")).agg(F.max("parts").alias("parts")), "doc_id").select("doc_id", "parts", "t")
+    # classes of null ids alone may still link others
+    of_null = wanted.filter("first_id IS NULL").agg(F.max("parts")).first()[0]
+    if of_null:
+        texts = texts.unionAll(own.filter("doc_id IS NULL").select("doc_id", F.lit(of_null).alias("parts"), "t"))
+    full = texts.mapInArrow(sets, "k long, id long, of long, part long, set binary")
+    named = wanted.select(F.col("k").alias("__k"), "first_id")
+    full = full.join(named, (full["k"] == named["__k"]) & full["id"].eqNullSafe(named["first_id"]), "left_semi").dropDuplicates(["k", "part"])
+    tile = F.expr("part * tiles div of")
+    dealt = tiled.join(full, "k").select("cluster", tile.alias("tile"), "k", "set").repartition("cluster").sortWithinPartitions("cluster", "tile")
+    links = dealt.mapInArrow(_confirm(percent), "a long, b long")
 
     roots_of = connected_components(links)
     labelled = classes.select("k", "k2", "n", "first_id").join(roots_of, "k", "left").withColumn("root", F.coalesce("root", "k"))
