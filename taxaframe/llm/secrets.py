@@ -18,6 +18,7 @@ value; repeated rows are scanned each; an empty table gives no rows. Other colum
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,11 +33,12 @@ class Kind:
     value_group: int = 0  # the secret part
     least: int = 1  # matches with a shorter secret part are dropped
     fold: str | None = None  # left out of the secret part: layout that differs between copies of a value
+    hints: tuple[str, ...] = ()  # a text with a match (lower-cased if the pattern begins with (?i)) holds one of these strings; none given: any text may match
 
 
 BASE = (
-    Kind("assign", r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
-    Kind("access", r"AKIA[A-Z0-9]+", 0, 16),
+    Kind("assign", r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8, hints=("passw", "secret", "token", "apikey", "api_key")),
+    Kind("access", r"AKIA[A-Z0-9]+", 0, 16, hints=("AKIA",)),
     Kind("hex", r"[0-9a-f]{32,}", 0, 32),
 )
 #: A private key: what stands before its END line; without one, the run of base64 after the header.
@@ -46,15 +48,32 @@ _KEY_BODY = rf"[^-]*+(?:-(?!----)[^-]*+)*+(?={_KEY_END})"
 _KEY_LINES = r"""(?:(?:\\[nrt]|[\s"'+,>#*])*+(?:(?:Proc-Type|DEK-Info|Version|Comment):[^\n\\]*+|[A-Za-z0-9/+]{16,}+={0,2}))*+(?:(?:\\[nrt]|\s)*+[A-Za-z0-9/+]++(?:={1,2}|\z))?+"""
 #: Kinds that the ownership method adds to the base ones.
 MORE = (
-    Kind("bearer", r"(?i)bearer\x20+([A-Za-z0-9+/_.=-]{20,})", 1, 20),
-    Kind("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D/:@]++:([^\x20\x09-\x0D/:@]{6,}+)@", 1, 6),
+    Kind("bearer", r"(?i)bearer\x20+([A-Za-z0-9+/_.=-]{20,})", 1, 20, hints=("bearer ",)),
+    Kind("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D/:@]++:([^\x20\x09-\x0D/:@]{6,}+)@", 1, 6, hints=("://",)),
     # begins a run of its characters and gives nothing back, so that a run is read once
-    Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 20),
-    Kind("prefixed", r"(?:gh[pousr]_|sk_live_|xox[abprs]-)[A-Za-z0-9-]{16,}", 0, 20),
-    Kind("private_key", f"{_KEY}({_KEY_BODY}|{_KEY_LINES})(?:{_KEY_END})?+", 1, 1, fold=r"""\\[nrt]|[\s"',]"""),
+    Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 20, hints=("eyJ",)),
+    Kind("prefixed", r"(?:gh[pousr]_|sk_live_|xox[abprs]-)[A-Za-z0-9-]{16,}", 0, 20, hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk_live_", "xox")),
+    Kind("private_key", f"{_KEY}({_KEY_BODY}|{_KEY_LINES})(?:{_KEY_END})?+", 1, 1, fold=r"""\\[nrt]|[\s"',]""", hints=("-----BEGIN ",)),
 )
 
 
+def _holds(strings: tuple[str, ...]):
+    return lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(s)) for s in strings])
+
+
+def _any_match(text: Column, kinds: tuple[Kind, ...]) -> Column:
+    """Whether a text holds a match of any kind. Strings that a match needs are looked for first, as that costs far less than a pattern."""
+    out = F.lit(False)
+    for k in kinds:
+        hint = F.lit(True)
+        if k.hints:
+            holds = _holds(k.hints)
+            # an array of one keeps the lower-cased text, which is made once
+            hint = F.exists(F.array(F.lower(text)), holds) if k.pattern.startswith("(?i)") else holds(text)
+        out |= hint & text.rlike(k.pattern)
+    return F.coalesce(out, F.lit(False))
+
+
 def _found(text: Column, kind: Kind) -> Column:
     """Array of (before, length, value): gap before each match, the match and its secret part."""
     whole = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
@@ -84,11 +103,8 @@ def _spans(docs: DataFrame, kinds: tuple[Kind, ...], id_col: str, text_col: str,
         F.coalesce((F.lit("") if owner is None else owner).cast("string"), F.lit("")).alias("owner"),
         F.coalesce((F.lit("") if repository is None else repository).cast("string"), F.lit("")).alias("repository"),
     )
-    any_of = F.lit(False)
-    for k in kinds:
-        any_of |= F.col("t").rlike(k.pattern)
     per_kind = F.flatten(F.array(*[_numbered(_found(F.col("t"), k), k, r) for r, k in enumerate(kinds)]))
-    spans = own.select("row", "doc_id", "key", "owner", "repository", F.explode_outer(F.when(any_of, per_kind)).alias("s"))
+    spans = own.select("row", "doc_id", "key", "owner", "repository", F.explode_outer(F.when(_any_match(F.col("t"), kinds), per_kind)).alias("s"))
     upto = Window.partitionBy("row", "s.rank").orderBy("s.i")
     end = F.sum(F.col("s.m.before") + F.col("s.m.size")).over(upto)
     return stored(
@@ -162,9 +178,7 @@ def redact(docs: DataFrame, mark: str = "[secret]", kinds: tuple[Kind, ...] = BA
     found = find_secrets(docs, kinds=kinds, id_col=id_col, text_col=text_col, **columns)
     live = found.filter("class = 'live'").groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__spans"))
     text = F.col(text_col)
-    any_of = F.lit(False)
-    for k in kinds:
-        any_of |= F.coalesce(text.rlike(k.pattern), F.lit(False))
+    any_of = _any_match(text, kinds)
     part = lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
     step = lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(F.concat(acc["out"], part(acc["at"], s["start"]), F.lit(mark)).alias("out"), s["end"].alias("at"))).otherwise(
         F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))

@@ -164,3 +164,17 @@ def test_items_that_lost_words_at_the_start_of_a_document(spark):
     assert {i: r["distance"] for i, r in got.items()} == {i: n for i, (n, budget) in enumerate(lost) if n <= budget}
     assert all(r["start"] == 0 for r in got.values())
     assert {r["doc_id"] for r in decontam.drop_contaminated(docs(spark, texts), frame).collect()} == set(range(len(texts))) - set(got)
+
+
+def test_hints_lose_no_match(spark):
+    run = "Ab1" * 12
+    texts = [f"{w}{sep}{run}" for w in ("PassWord", "PASSWD", "Secret", "toKEN", "API_key", "apiKEY") for sep in ("=", '": "')]
+    texts += [f"BEARER  {run}", f"Bearer {run}", f"ftp+x://u:{run}@h", "AKIA" + "Z9" * 10, "0f" * 16, "eyJabcdefghij.abcdefghij.abcdefghij"]
+    texts += [f"{p}{run}" for p in ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk_live_", "xoxa-", "xoxb-", "xoxr-", "xoxs-", "xoxp-")] + odd_texts()
+    kinds = secrets.BASE + secrets.MORE
+    frame = docs(spark, texts)
+    plain = F.lit(False)
+    for k in kinds:
+        plain |= F.coalesce(F.col("text").rlike(k.pattern), F.lit(False))
+    got = frame.select("doc_id", secrets._any_match(F.col("text"), kinds).alias("a"), plain.alias("b")).collect()
+    assert all(r["a"] == r["b"] == (r["doc_id"] < len(texts) - 10) for r in got)
