@@ -16,7 +16,7 @@ def tokens(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), None]
 
 
-def test_language_model_against_plain_counts(spark, monkeypatch):
+def test_language_model_against_plain_counts(spark):
     draw = random.Random(3)
     texts = odd_texts() + [words(draw, draw.randrange(0, 60), 40) for _ in range(150)]
     ids = [*range(len(texts) - 1), None]
@@ -36,6 +36,27 @@ def test_language_model_against_plain_counts(spark, monkeypatch):
     assert lm.interpolated_scores(docs(spark, []), train=F.lit(True)).count() == 0
 
 
+def test_interpolated_score_against_a_plain_mixture(spark, monkeypatch):
+    draw = random.Random(4)
+    texts = odd_texts() + [words(draw, draw.randrange(0, 60), 30) for _ in range(120)]
+    weight = np.random.default_rng(4).dirichlet([1, 1, 1], lm.BUCKETS)
+    weight[0] = [0, 0.3, 0.7]
+    monkeypatch.setattr(lm, "learn_weights", lambda *_: weight)
+    got = {r["doc_id"]: r["score"] for r in lm.interpolated_scores(docs(spark, texts), train=id_crc32("doc_id") % 7 != 2).collect()}
+    own = [tokens(t) for t in texts]
+    train = [x for i, x in enumerate(own) if zlib.crc32(str(i).encode()) % 7 != 2]
+    uni, bi = Counter(w for x in train for w in x), Counter(p for x in train for p in zip(["<start>", *x], x))
+    total = sum(uni.values())
+    assert len(got) == len(texts) and 0 < len(train) < len(own)
+    for i, x in enumerate(own):
+        want = 0.0
+        for before, w in zip(["<start>", *x], x):
+            context = len(train) if before == "<start>" else uni[before]
+            a, u, z = weight[min(int(math.log2(context)) + 1, lm.BUCKETS - 1) if context else 0]
+            want += math.log10(a * bi[before, w] / max(context, 1) + u * uni[w] / total + z / (len(uni) + 1))
+        assert math.isclose(got[i], want, rel_tol=1e-9), i
+
+
 def test_weights_are_a_distribution_and_raise_likelihood():
     draw = np.random.default_rng(1)
     code = (draw.integers(0, 90, 500) << 40) | (draw.integers(0, 40, 500) << 20) | draw.integers(1, 90, 500)
