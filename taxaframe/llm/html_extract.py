@@ -7,7 +7,7 @@ gradient-boosted ensemble gives the probability that its subtree holds main text
 is hierarchical: the most likely labelling in which nothing below a rejected node is
 accepted, so ancestors and descendants never contradict. Accepted runs are the text.
 
-The ensemble is fitted on at most ``sample_pages`` pages (smallest hashes of the id) that mark
+The ensemble is fitted on at most ``sample_pages`` pages of at most ``sample_chars`` characters (smallest hashes of the id) that mark
 their article semantically; copies of these pages with the marks renamed and with notices,
 comments, sidebars, forms, adverts and menus put in teach the other features.
 
@@ -369,9 +369,10 @@ def _variants(pages: list[str], draw: random.Random) -> Iterator[str]:
             yield new
 
 
-def fit_extractor(pages: DataFrame, sample_pages: int = 150, id_col: str = "page_id", html_col: str = "html") -> Boosted:
-    """An ensemble fitted on at most ``sample_pages`` pages that hold an article or main element."""
-    marked = pages.filter(F.col(html_col).rlike(r"(?i)<(article|main)\b") & (F.length(html_col) <= 60_000))
+def fit_extractor(pages: DataFrame, sample_pages: int = 150, sample_chars: int = 60_000, id_col: str = "page_id", html_col: str = "html") -> Boosted:
+    """An ensemble fitted on at most ``sample_pages`` pages of at most ``sample_chars`` characters that
+    hold an article or main element: the driver fits, so both bound its memory. Extraction reads every page whole."""
+    marked = pages.filter(F.col(html_col).rlike(r"(?i)<(article|main)\b") & (F.length(html_col) <= sample_chars))
     marked = marked.select(F.col(html_col).alias("h"), F.xxhash64(F.col(id_col)).alias("o0"), F.xxhash64(F.col(html_col)).alias("o1"))
     # only hashes are ordered; the pages of the chosen ones follow, a repeated page once
     chosen = marked.select("o0", "o1").distinct().orderBy("o0", "o1").limit(sample_pages)
