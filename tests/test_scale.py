@@ -53,3 +53,12 @@ def test_anti_join_equals_a_plain_one(spark):
     want = rows.join(keys, ["sample", "read_id"], "left_anti")
     order = lambda df: sorted(df.collect(), key=str)
     assert order(got) == order(want) and len(order(got)) == 42
+
+
+def test_taxonomy_joins_do_not_go_through_the_driver(spark):
+    from taxaframe.operators import kmer as KM
+
+    names = spark.createDataFrame([(1, 0, "R", "root"), (2, 1, "G", "g__a b"), (3, 2, "S", "c")], "taxid int, parent int, rank string, name string")
+    lines = KM.lineages(KM.index_tree(names), names)
+    assert "BroadcastHashJoin" not in lines._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in lines.collect()} == {(2, "g__a_b"), (3, "g__a_b;s__c")}
