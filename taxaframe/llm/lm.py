@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -72,27 +73,29 @@ _BLOCKS = "block long, ids array<long>, train array<boolean>, sizes array<int>,
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A block's texts are held once, as the bytes that are compressed."""
     block = TaskContext.get().partitionId() << 32
-    ids, train, texts, size = [], [], [], 0
+    ids, train, sizes, raw, chars = [], [], [], bytearray(), 0
 
     def flush():
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        data = zstandard.ZstdCompressor(level=5).compress(b"".join(raw))
+        data = zstandard.ZstdCompressor(level=5).compress(raw)
         return pa.RecordBatch.from_arrays([
             pa.array([block], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([train], pa.list_(pa.bool_())),
-            pa.array([[len(r) for r in raw]], pa.list_(pa.int32())), pa.array([data], pa.binary()),
+            pa.array([sizes], pa.list_(pa.int32())), pa.array([data], pa.binary()),
         ], names=["block", "ids", "train", "sizes", "data"])
 
     for batch in batches:
-        for i, t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            x = x.as_py()
+        texts = batch.column(2)
+        for i, t, x, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, pc.utf8_length(texts).to_pylist()):
+            text = x.as_buffer()
             ids.append(i)
             train.append(t)
-            texts.append(x)
-            size += len(x) + 1
-            if size >= BLOCK_CHARS:
+            sizes.append(text.size)
+            raw += text
+            chars += n + 1
+            if chars >= BLOCK_CHARS:
                 yield flush()
-                block, ids, train, texts, size = block + 1, [], [], [], 0
+                block, ids, train, sizes, raw, chars = block + 1, [], [], [], bytearray(), 0
     if ids:
         yield flush()
 

@@ -141,3 +141,23 @@ def test_every_query_gets_its_k_nearest_or_all(spark):
         near = sorted((-round(float(x @ np.array(y) / np.linalg.norm(x) / np.linalg.norm(y)), 9), i) for i, y in rows if i != q and len(y) == len(vec))[:5]
         assert got.get(q, []) == [(n + 1, i, -s) for n, (s, i) in enumerate(near)]
     assert [len(got.get(q, [])) for q in (500, 600, 700, 800)] == [5, 3, 0, 1]
+
+
+def test_language_model_blocks_hold_texts_once(spark):
+    import tracemalloc
+    from unittest import mock
+
+    import pyarrow as pa
+
+    text = "wörd " * 1_000  # 6 bytes, 5 characters a word
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1300)), pa.array([True] * 1300), pa.array([text] * 1299 + [""])], names=["id", "train", "t"])
+    with mock.patch.object(lm, "TaskContext", **{"get.return_value.partitionId.return_value": 3}):
+        tracemalloc.start()
+        blocks = list(lm._to_blocks(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert [b.column("block")[0].as_py() for b in blocks] == [3 << 32, (3 << 32) + 1]
+    sizes = [s for b in blocks for s in b.column("sizes")[0].as_py()]
+    assert sizes == [6_000] * 1299 + [0] and [i for b in blocks for i in b.column("ids")[0].as_py()] == list(range(1300))
+    assert lm._texts(blocks[1].column("sizes")[0].as_py(), blocks[1].column("data")[0].as_py())[0] == text
+    assert peak < 18_000_000  # 7.2 MB of bytes and their growth, not three copies
