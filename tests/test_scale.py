@@ -18,6 +18,7 @@ def test_reads_and_windows_are_planned_not_written(spark):
     fx = Fixtures(spark, SF_SMALL)
     assert any("lineitem.parquet" in f for f in fx.reads.inputFiles())
     assert any("lineitem.parquet" in f for f in fx.reads_pe.inputFiles())
+    assert any("lineitem.parquet" in f for f in fx.alignment.inputFiles())
     # a filter of the species reaches the genomes, before any window is made
     hosts = fx.kmer_windows.filter("species % 20 = 0")
     assert _plan(hosts).index("Generate") < _plan(hosts).index("% 20")
