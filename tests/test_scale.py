@@ -5,7 +5,7 @@ from conftest import SF_SMALL
 from taxaframe.functions import bloom as B
 from taxaframe.functions.kernels import map_ascii
 from taxaframe.operators import reads as RD
-from taxaframe.plans.fixtures import Fixtures
+from taxaframe.plans.fixtures import PLANNED, Fixtures
 
 READS = "sample string, ordinal long, read_id string, seq1 string, qual1 string, seq2 string, qual2 string"
 
@@ -15,7 +15,7 @@ def _plan(df):
 
 
 def test_reads_and_windows_are_planned_not_written(spark):
-    fx = Fixtures(spark, SF_SMALL)
+    fx = Fixtures(spark, SF_SMALL, PLANNED)
     assert any("lineitem.parquet" in f for f in fx.reads.inputFiles())
     assert any("lineitem.parquet" in f for f in fx.reads_pe.inputFiles())
     assert any("lineitem.parquet" in f for f in fx.alignment.inputFiles())
