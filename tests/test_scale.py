@@ -63,3 +63,15 @@ def test_taxonomy_joins_do_not_go_through_the_driver(spark):
     lines = KM.lineages(KM.index_tree(names), names)
     assert "BroadcastHashJoin" not in lines._jdf.queryExecution().executedPlan().toString()
     assert {tuple(r) for r in lines.collect()} == {(2, "g__a_b"), (3, "g__a_b;s__c")}
+
+
+def test_reads_are_shuffled_once(spark):
+    plan = Fixtures(spark, SF_SMALL, PLANNED).reads._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(lines) == 2 and "l_partkey" in lines[0] + lines[1]  # the table's rows, and the genomes
+    assert "SortMergeJoin" not in plan
+
+
+def test_a_filter_evaluates_the_bases_once(spark):
+    plan = _plan(RD.filter_pairs(Fixtures(spark, SF_SMALL, PLANNED).reads, RD.CleanConfig(low_complexity_filter=True)))
+    assert plan.count("AGATCGGAAGAGC") == 1
