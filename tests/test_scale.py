@@ -75,3 +75,27 @@ def test_reads_are_shuffled_once(spark):
 def test_a_filter_evaluates_the_bases_once(spark):
     plan = _plan(RD.filter_pairs(Fixtures(spark, SF_SMALL, PLANNED).reads, RD.CleanConfig(low_complexity_filter=True)))
     assert plan.count("AGATCGGAAGAGC") == 1
+
+
+def test_a_filter_above_trims_does_not_repeat_them(spark):
+    reads = Fixtures(spark, SF_SMALL, PLANNED).reads
+    chain = RD.trim_fixed(RD.trim_adapter(RD.trim_poly_g(reads)), 0, 0, 0, 5)
+    plan = _plan(RD.filter_pairs(chain, RD.CleanConfig(length_required=20, length_limit=95)))
+    assert "regexp" not in plan and max(map(len, plan.splitlines())) < 20_000
+
+
+def test_cuts_equal_their_regexes(spark):
+    from pyspark.sql import functions as F
+
+    from taxaframe.functions.kernels import before_adapter
+
+    ad = RD.TRUSEQ_ADAPTER
+    texts = ["", None, "A", "G" * 9, "G" * 10, "AC" + "G" * 12, "GGGGGGGGGGGGN", "T" * 11, "ACGT" + "A" * 10, ad, "TT" + ad + "CC", ad + ad, "C" + ad[:4], "C" + ad[:3], ad[:12], "AGATAGAT"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").coalesce(1)
+    cut = lambda p: F.length(F.regexp_replace("s", p, ""))
+    got = df.select(
+        RD.before_run("G", 10)(F.col("s")), cut("G{10,}$"), RD.before_run("ACGT", 10)(F.col("s")), cut("(A{10,}|C{10,}|G{10,}|T{10,})$"),
+        before_adapter(ad, 4)("s"), cut(RD.adapter_pattern(ad)), RD.complexity_diffs(F.col("s")), F.greatest(F.regexp_count("s", F.lit(r"(.)(?!\1)")) - 1, F.lit(0)),
+    ).collect()
+    for row in got:
+        assert row[0::2] == row[1::2] or row[0] is None and row[6] is None, row
