@@ -99,3 +99,12 @@ def test_cuts_equal_their_regexes(spark):
     ).collect()
     for row in got:
         assert row[0::2] == row[1::2] or row[0] is None and row[6] is None, row
+
+
+def test_totals_read_the_table_once(spark):
+    rows = [("S", i, f"r{i}", "ACGT" * 10, "I" * 40, "GGCC" * 10, "#" * 20 + "I" * 20) for i in range(3)] + [(None, 9, "n", "ACGT" * 10, "I" * 40, "GGCC" * 10, "I" * 40)]
+    totals = RD.clean_totals(spark.createDataFrame(rows, READS), RD.CleanConfig())
+    assert _plan(totals).count("LogicalRDD") == 1
+    got = {r["sample"]: r.asDict() for r in totals.collect()}
+    assert (got["S"]["reads_before"], got["S"]["reads_after"], got["S"]["gc_before"], got["S"]["q20_before"]) == (6, 0, 180, 180)
+    assert (got[None]["reads_before"], got[None]["reads_after"], got[None]["bases_after"]) == (2, 0, 0)
