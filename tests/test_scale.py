@@ -108,3 +108,32 @@ def test_totals_read_the_table_once(spark):
     got = {r["sample"]: r.asDict() for r in totals.collect()}
     assert (got["S"]["reads_before"], got["S"]["reads_after"], got["S"]["gc_before"], got["S"]["q20_before"]) == (6, 0, 180, 180)
     assert (got[None]["reads_before"], got[None]["reads_after"], got[None]["bases_after"]) == (2, 0, 0)
+
+
+def test_overlap_search_equals_a_plain_one():
+    import numpy as np
+
+    from taxaframe.operators.overlap import _find, _matrix
+
+    rng = np.random.default_rng(7)
+    pairs = []
+    for i in range(300):
+        base = rng.choice(list(b"ACGT"), 140).astype(np.uint8)
+        a, r, o = base[:100].copy(), base[30 : 30 + rng.integers(20, 101)].copy(), 0
+        if i % 3 == 0:
+            a, r = r, a
+        for _ in range(rng.integers(0, 8)):
+            a[rng.integers(0, len(a))] = 65
+        pairs.append((a.tobytes(), r.tobytes()))
+    (a, la), (r, lr) = _matrix([p[0] for p in pairs], 1), _matrix([p[1] for p in pairs], 2)
+    found, at, ov, mm = _find(a, la, r, lr, 30, 5)
+    for i, (x, y) in enumerate(pairs):
+        want = None
+        for o in [*range(0, 101), *range(-1, -101, -1)]:
+            p, q = (x[o:], y) if o >= 0 else (x, y[-o:])
+            n = min(len(p), len(q))
+            if n >= 30 and sum(c != d for c, d in zip(p, q)) <= 5:
+                want = (o, n, sum(c != d for c, d in zip(p, q)))
+                break
+        assert (want is not None) == found[i] and (want is None or want == (at[i], ov[i], mm[i]))
+    assert 50 < found.sum() < 300
