@@ -137,3 +137,10 @@ def test_overlap_search_equals_a_plain_one():
                 break
         assert (want is not None) == found[i] and (want is None or want == (at[i], ov[i], mm[i]))
     assert 50 < found.sum() < 300
+
+
+def test_cleaned_reads_of_the_qc_stage_are_not_written(spark, monkeypatch):
+    from taxaframe.plans import q_qc
+
+    monkeypatch.setattr(q_qc, "stored", None)  # nothing is stored here; only ids are, by the anti join
+    assert q_qc._clean_reads(Fixtures(spark, SF_SMALL, PLANNED)).columns[:2] == ["sample", "ordinal"]
