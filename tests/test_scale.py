@@ -110,6 +110,15 @@ def test_totals_read_the_table_once(spark):
     assert (got[None]["reads_before"], got[None]["reads_after"], got[None]["bases_after"]) == (2, 0, 0)
 
 
+def test_a_filter_without_room_takes_fewer_bits(spark):
+    import numpy as np
+
+    keys = spark.range(50_000)
+    held = B.build_bloom(keys, 300_000, max_bytes=256 << 10)
+    assert held is not None and held.holds(np.arange(50_000)).all()
+    assert B.build_bloom(keys, 400_000, max_bytes=256 << 10) is None
+
+
 def test_overlap_search_equals_a_plain_one():
     import numpy as np
 
