@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 
 from taxaframe.functions import packed as PK
-from taxaframe.functions.kernels import _canonical_kmers
+from taxaframe.functions.kernels import _canonical_kmers, pack_bases, unpack_bases
 from taxaframe.functions.superkmer import Prefilter
 from taxaframe.operators import kmer as KM
+from taxaframe.operators import qc as QC
 from taxaframe.plans.fixtures import Fixtures
 
 READS = "sample string, ordinal long, read_id string, seq1 string, qual1 string, seq2 string, qual2 string"
@@ -69,3 +70,25 @@ def test_runs_are_small(spark):
     assert windows > 100_000 and used < 3 * windows
     plan = KM.kmer_hits(reads, fx.kmer)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(sample") == 1 and "array_contains" not in plan
+
+
+def test_packed_bases_are_a_key_of_the_text(spark):
+    draw = random.Random(8)
+    texts = ["".join(draw.choices("ACGT", k=n)) for n in range(1, 60)] + ["A" * n for n in range(9)] + [None, "acgt", "ACGN", "ACG T", "\u00e4ACGT", "NNNN"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    rows = df.select("t", pack_bases("t").alias("p"), unpack_bases(pack_bases("t")).alias("back")).collect()
+    assert [r.back for r in rows] == texts
+    assert len({bytes(r.p) for r in rows if r.p is not None}) == len({t for t in texts if t is not None})
+    assert all(len(r.p) == 1 + -(-len(r.t) // 4) for r in rows if r.t and set(r.t) <= set("ACGT"))
+
+
+def test_sequences_are_counted_by_their_packed_bases(spark):
+    rows = [("raw", "S", 1, str(i), s, None) for i, s in enumerate(["ACGT", "ACGT", "ACGTA", "ACGN", "ACGN", "", "", None, "acgt"])]
+    m = spark.createDataFrame(rows, "stage string, sample string, mate int, read_id string, seq string, qual string")
+    assert {(r.seq, r["count"]) for r in QC.qc_overrepresented(m).collect()} == {("ACGT", 2), ("ACGTA", 1), ("ACGN", 2), ("", 2), (None, 1), ("acgt", 1)}
+    assert {(r.level, r.sequences, r.reads) for r in QC.qc_duplication(m).collect()} == {(1, 3, 3), (2, 3, 6)}
+    for query in (QC.qc_duplication(m), QC.qc_overrepresented(m)):
+        shuffles = [x for x in query._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x]
+        assert shuffles and not any("seq#" in x for x in shuffles)
+    # a sample's sequences are not brought together for its total
+    assert "BroadcastHashJoin" in QC.qc_overrepresented(m)._jdf.queryExecution().executedPlan().toString()
