@@ -153,3 +153,58 @@ def test_cleaned_reads_of_the_qc_stage_are_not_written(spark, monkeypatch):
 
     monkeypatch.setattr(q_qc, "stored", None)  # nothing is stored here; only ids are, by the anti join
     assert q_qc._clean_reads(Fixtures(spark, SF_SMALL, PLANNED)).columns[:2] == ["sample", "ordinal"]
+
+
+def test_decontamination_of_named_reads_is_one_plan(spark, monkeypatch):
+    import random
+
+    from taxaframe.operators import kmer as KM
+    from taxaframe.plans import q_qc
+
+    draw = random.Random(11)
+    rc = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    host, spike, own = ("".join(draw.choices("ACGT", k=400)) for _ in range(3))
+    kmers = {n: spark.createDataFrame([(min(g[i : i + 31], rc(g[i : i + 31])),) for i in range(370)], "kmer string") for n, g in (("host", host), ("spike", spike))}
+    rows = []
+    for i in range(240):
+        at = draw.randrange(300)
+        a, b = (draw.choice([host, spike, own])[at : at + draw.choice([10, 33, 35, 80])] for _ in "12")
+        rows.append((None if i % 17 == 0 else f"S{i % 3}", i, None if i % 19 == 0 else str(i), a, "I" * len(a), rc(b), "I" * len(b)))
+    rows += [("S", 300, "empty", None, None, rc(host[:80]), "I" * 80), ("S", 301, "ns", "N" * 80, "I" * 80, rc(host[:80]), "I" * 80)]
+    df = spark.createDataFrame(rows, READS)
+    order = lambda d: sorted(d.collect(), key=str)
+    for mode in ("both", "any"):
+        want = order(KM.decontaminate(df, kmers, mode=mode))
+        with monkeypatch.context() as m:
+            m.setattr(KM, "anti_join", None)  # no job of its own that finds the claimed names
+            got = KM.decontaminate(df, kmers, mode=mode, named_once=True)
+        assert got.columns == df.columns and order(got) == want and 30 < len(want) < len(rows)
+    assert order(KM.decontaminate(df, kmers, min_hits=0, named_once=True)) == order(KM.decontaminate(df, kmers, min_hits=0))
+    with monkeypatch.context() as m:
+        m.setattr(KM, "anti_join", None)
+        clean = q_qc._clean_reads(Fixtures(spark, SF_SMALL, PLANNED))
+    # one plan reads the table: to keep what the filter clears, to look up the others and to bring back what was cleared
+    assert _plan(clean).count("MapInArrow") >= 2 and clean.count() > 0
+
+
+def test_pairs_that_agree_with_a_cleared_name(spark):
+    from taxaframe.operators import kmer as KM
+
+    names = spark.createDataFrame([("S", f"r{i}") for i in range(0, 4000, 100)], "sample string, read_id string")
+    rows = spark.createDataFrame([("S", f"r{i}") for i in range(4000)], "sample string, read_id string")
+    got = {r["read_id"] for r in rows.filter(KM._agrees(names)).collect()}
+    assert {f"r{i}" for i in range(0, 4000, 100)} <= got and len(got) < 50
+    assert rows.filter(KM._agrees(names.filter("false"))).count() == 0
+
+
+def test_held_windows_are_counted(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    from taxaframe.functions.superkmer import held_windows, windows
+
+    seqs = pa.array(["ACGTTGCAAC", None, "", "ACGNTGCAACG", "TTGCAAC", "AC"])
+    row, kmer, _ = windows(seqs, 5, 3)
+    bloom = B.build_bloom(spark.createDataFrame([(int(x),) for x in set(kmer.tolist())], "k long"), 20, bits_per_key=24)
+    assert held_windows(seqs, 5, bloom).tolist() == np.bincount(row, minlength=6).tolist()
+    assert held_windows(pa.array(["AC", None]), 5, bloom).tolist() == [0, 0]
