@@ -208,3 +208,19 @@ def test_held_windows_are_counted(spark):
     bloom = B.build_bloom(spark.createDataFrame([(int(x),) for x in set(kmer.tolist())], "k long"), 20, bits_per_key=24)
     assert held_windows(seqs, 5, bloom).tolist() == np.bincount(row, minlength=6).tolist()
     assert held_windows(pa.array(["AC", None]), 5, bloom).tolist() == [0, 0]
+
+
+def test_names_that_stand_twice_are_judged_together(spark):
+    import random
+    from types import SimpleNamespace
+
+    from taxaframe.plans import q_qc
+
+    host = "".join(random.Random(5).choices("ACGT", k=64))
+    rc = host[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    windows = [(min(host[i : i + 31], rc[64 - 31 - i : 64 - i]), 20) for i in range(34)]
+    mate = ("C" * 20 + "ACGTAGTC" + host[:33], "I" * 61, "C" * 20 + "ACGTAGTC" + host[31:], "I" * 61)  # three windows each
+    reads = spark.createDataFrame([("S", 1, "r", *mate), ("S", 1, "r", *mate), ("S", 2, "q", *mate)], READS)
+    kmers = spark.createDataFrame(windows, "kmer string, species int")
+    fx = SimpleNamespace(reads=reads, kmer_windows=kmers, genome=spark.createDataFrame([(7,), (7,), (8,)], "genome_id long"))
+    assert [r["read_id"] for r in q_qc._clean_reads(fx).collect()] == ["q"]
