@@ -1,6 +1,7 @@
 """Steps that must not write or shuffle what they need not: reads planned in place, repeats and claimed pairs found by a filter."""
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from taxaframe.functions import bloom as B
 from taxaframe.functions.kernels import map_ascii
@@ -224,3 +225,33 @@ def test_names_that_stand_twice_are_judged_together(spark):
     kmers = spark.createDataFrame(windows, "kmer string, species int")
     fx = SimpleNamespace(reads=reads, kmer_windows=kmers, genome=spark.createDataFrame([(7,), (7,), (8,)], "genome_id long"))
     assert [r["read_id"] for r in q_qc._clean_reads(fx).collect()] == ["q"]
+
+
+def test_raw_and_clean_stage_are_one_pass(spark, monkeypatch):
+    import random
+
+    from taxaframe.operators import kmer as KM
+    from taxaframe.operators import qc as QC
+    from taxaframe.plans import q_qc
+
+    draw = random.Random(12)
+    rc = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    host, own = ("".join(draw.choices("ACGT", k=400)) for _ in range(2))
+    kmers = {"host": spark.createDataFrame([(min(host[i : i + 31], rc(host[i : i + 31])),) for i in range(370)], "kmer string")}
+    rows = []
+    for i in range(200):
+        at, size = draw.randrange(300), draw.choice([10, 33, 35, 80])
+        a, b = (draw.choice([host, own])[at : at + size] for _ in "12")
+        rows.append((None if i % 17 == 0 else "S", i, None if i % 19 == 0 else str(i), a, "I" * len(a), rc(b), "I" * len(b)))
+    df = spark.createDataFrame([*rows, ("S", 300, "empty", None, None, rc(host[:80]), "I" * 80)], READS)
+    raw = df.select("*", *[F.col(c).alias(f"raw_{c}") for c in ("seq1", "qual1", "seq2", "qual2")])
+    passed = F.col("ordinal") % 3 != 0
+    order = lambda d: sorted(map(tuple, d.collect()), key=str)
+    clean = KM.decontaminate(df.filter(passed), kmers)
+    want = order(QC.mates(df, "raw").unionByName(QC.mates(clean, "clean")))
+    for once in (True, False):
+        got = QC.staged_mates(KM.decontaminate_marked(raw, passed, lambda named: raw.filter(named), kmers, named_once=once))
+        assert order(got) == want and clean.count() > 20
+    # the raw stage has no branch of its own: what is not brought back by name is one scan of the table
+    whole = q_qc._both(Fixtures(spark, SF_SMALL, PLANNED))._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.count("Union") == 1 and "stages" in whole
