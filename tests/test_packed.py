@@ -92,3 +92,39 @@ def test_sequences_are_counted_by_their_packed_bases(spark):
         assert shuffles and not any("seq#" in x for x in shuffles)
     # a sample's sequences are not brought together for its total
     assert "BroadcastHashJoin" in QC.qc_overrepresented(m)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_and_windows_of_packed_bases():
+    import numpy as np
+
+    from taxaframe.functions import packed as P
+    from taxaframe.functions.superkmer import _spans
+
+    draw = np.random.default_rng(1)
+    for k in (1, 5, 16, 30, 31):
+        code = draw.integers(0, 4, 400).astype(np.uint8)
+        raw = code[0::4] << 6 | code[1::4] << 4 | code[2::4] << 2 | code[3::4]
+        every = np.minimum(*_spans(code, k)).view(np.int64)
+        at = draw.permutation(len(every))
+        assert P._unpacked_kmers(raw, at, k).tolist() == every[at].tolist()
+        rows = np.concatenate([every[::3], every[::9]])  # some k-mers stand several times
+        index = P._Index(rows, np.arange(len(rows)))
+        known = np.unique(rows)
+        assert index.rows(every).tolist() == np.where(np.isin(every, known), np.searchsorted(known, every), -1).tolist()
+        assert index.many.sum() == len(rows) and not index.once and sorted(index.tag.tolist()) == list(range(len(rows)))
+
+
+def test_catalogue_fixtures_use_all_tasks_and_no_broadcast(spark):
+    from conftest import SF_SMALL
+
+    from taxaframe.operators import kmer as KM
+    from taxaframe.plans import fixtures as FX
+
+    fx = FX.Fixtures(spark, SF_SMALL, FX.PLANNED)
+    assert fx.kmer_windows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plan = FX._spark_kmer_distrib(fx)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    report = spark.createDataFrame([("S", 5, "S", 20, 20)], "sample string, taxid long, rank string, clade_reads long, direct_reads long")
+    pairs = spark.createDataFrame([(5, 5, 1.0), (2, 5, 0.5)], "node long, species long, p double")
+    est = KM.reestimate(report, pairs)
+    assert "BroadcastHashJoin" not in est._jdf.queryExecution().executedPlan().toString() and est.first()["kraken_assigned_reads"] == 20
